@@ -13,9 +13,12 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     global _pow, _inv
     if len(_pow) < n:
         n = 1 << (n - 1).bit_length()
-        with np.errstate(over="ignore"):
-            _pow = np.cumprod(np.concatenate([[1], np.full(n - 1, _BASE, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-            _inv = np.cumprod(np.concatenate([[1], np.full(n - 1, pow(_BASE, -1, 1 << 64), np.uint64)]).astype(np.uint64), dtype=np.uint64)
+        out = []
+        for base in (_BASE, pow(_BASE, -1, 1 << 64)):
+            x = np.full(n, base, np.uint64)
+            x[0] = 1
+            out.append(np.cumprod(x, dtype=np.uint64))
+        _pow, _inv = out
     return _pow, _inv
 
 
