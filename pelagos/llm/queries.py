@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("op1_packing", "op4_media", "op6_language", "op7_sharding", "op8_mixing", "op9_url_filter")
+MODULES = ("op1_packing", "op2_fingerprint", "op4_media", "op6_language", "op7_sharding", "op8_mixing", "op9_url_filter")
 
 
 def _modules():
