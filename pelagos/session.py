@@ -8,6 +8,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def get_spark(app: str = "pelagos", cores: str = "8", shuffle: int = 8) -> SparkSession:
     """A local session for tests and the bench; a cluster brings its own."""
@@ -39,9 +41,14 @@ def shared_dir(spark: SparkSession) -> str:
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back: cuts the lineage,
     survives lost executors and computes df a single time."""
-    path = f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")  # nothing reads this write's shuffle files later
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
