@@ -48,7 +48,16 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._pelagos_path = path
+    return out
+
+
+def release(*dfs: DataFrame) -> None:
+    """Delete tables written by materialize() once what was made of them is written too."""
+    for df in dfs:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._pelagos_path)
+        path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
