@@ -2,9 +2,10 @@
 
 Which strings can repeat: of the GRAM-byte substrings of a 100-byte window, the one of the
 least hash (the leftmost of equals) stands for the window, so equal windows have equal ones
-at the same place. Consecutive windows with the same one form a segment. Only segments whose
-gram occurs again are looked at further; of equal segments the earliest stays as their
-representative, and every window of the others is a repeat.
+at the same place. Consecutive windows with the same one form a segment. Segments are sorted
+by gram and content; of equal segments the earliest stays as their representative, and every
+window of the others is a repeat. Equal segments of a batch are merged before the shuffle,
+and the sorted rows are read as a stream, so a large group of copies is never gathered.
 
 Suffix arrays: representatives that share a gram are concatenated, a bucket of grams of about
 BUCKET bytes at a time, in order of their occurrence. Two-stage sorting orders the suffixes:
@@ -34,10 +35,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import materialize, table
+from pelagos.session import materialize, release, table
 
 NAME = "op10_two_stage_suffixes"
-LENGTH, GRAM, BUCKET, CROWD = 100, 30, 1 << 20, 1000
+LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 # a place: 24 bits that tell the texts of one doc_id apart, 31 bits of start, 8 bits of windows
 TX, AT = 39, 8
@@ -55,42 +56,104 @@ def _tx(raw: bytes) -> int:
 
 
 def representatives(b: np.ndarray, starts: np.ndarray, length: int, gram: int):
-    """Segments of concatenated texts: hash of the gram, number of the text, start in it, windows."""
+    """Segments of concatenated texts: hash of the gram, hash of the segment, number of the
+    text, start in it, windows. The least gram is found by the upper 33 bits of its hash; the
+    31 bits below are its place, so the leftmost of equals wins."""
     s = bh.sums(b)
     h = bh.windows(s, gram)
-    w = length - gram + 1
     n = len(b) - length + 1
     if n <= 0:
-        return [np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
-    value, place, span = h, np.arange(len(h), dtype=np.int32), 1
+        return [np.zeros(0, np.uint64), np.zeros(0, np.uint64), *[np.zeros(0, np.int64)] * 3]
+    least, span, w = (h >> np.uint64(31) << np.uint64(31)) | np.arange(len(h), dtype=np.uint64), 1, length - gram + 1
     while span < w:  # minimum over `span` grams, doubled
         step = min(span, w - span)
-        m = len(value) - step
-        right = value[step:] < value[:m]
-        value, place = np.where(right, value[step:], value[:m]), np.where(right, place[step:], place[:m])
+        least = np.minimum(least[:len(least) - step], least[step:])
         span += step
-    place = place[:n]
-    text = np.repeat(np.arange(len(starts) - 1), np.diff(starts))[:n]
-    valid = np.arange(n) + length < starts[text + 1]  # a line feed follows each text
-    first = valid.copy()
-    first[1:] &= (place[1:] != place[:-1]) | ~valid[:-1]
-    at = np.flatnonzero(first)
-    stop = np.flatnonzero(valid & ~np.append(valid[1:] & ~first[1:], False))
-    return [h[place[at]], text[at], at - starts[text[at]], stop - at + 1]
+    least = least[:n]
+    change = np.ones(n, bool)
+    change[1:] = least[1:] != least[:-1]
+    # windows of a text lie from its start to `length` before its line feed
+    from_, to = starts[:-1], starts[1:] - length
+    full = to > from_
+    change[from_[full]] = True
+    edge = np.zeros(n + 1, np.int8)
+    np.add.at(edge, from_[full], 1)
+    np.add.at(edge, np.minimum(to[full], n), -1)
+    valid = np.cumsum(edge[:n]) > 0
+    at = np.flatnonzero(change & valid)
+    change[np.minimum(to[full], n - 1)] |= to[full] < n
+    bounds = np.append(np.flatnonzero(change | ~valid), n)
+    stop = bounds[np.searchsorted(bounds, at, side="right")]
+    text = np.searchsorted(starts, at, side="right") - 1
+    place = (least[at] & np.uint64((1 << 31) - 1)).astype(np.int64)
+    return [h[place], bh.spans(s, at, stop + length - 1), text, at - starts[text], stop - at]
 
 
 def segments(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """h, okey and place of every segment of docs(okey, text)."""
+    """h, sh, okey and place of the segments of docs(okey, text). Of equal segments in a batch
+    the first stands for all; the others are known copies, spread evenly."""
     def task(batches):
         for batch in batches:
             key = batch.column(0).to_numpy()
             raws = [_raw(t.as_py()) for t in batch.column(1)]
+            tx = np.array([_tx(r) for r in raws], np.int64)
+            parts = []
             for first, b, starts in bh.chunks(raws):
-                h, text, at, windows = representatives(b, starts, length, gram)
-                tx = np.array([_tx(r) for r in raws[first:first + len(starts) - 1]], np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(key[first + text]), pa.array(tx[text] << TX | at << AT | windows)], names=["h", "okey", "place"])
-
-    return docs.mapInArrow(task, "h long, okey long, place long")
+                h, sh, text, at, windows = representatives(b, starts, length, gram)
+                parts.append((h, sh, key[first + text], tx[first + text] << TX | at << AT | windows))
+            h, sh, okey, place = (np.concatenate(c) for c in zip(*parts))
+            order = np.lexsort((place, okey, sh, h))
+            h, sh, okey, place = h[order], sh[order], okey[order], place[order]
+            once = np.ones(len(h), bool)  # a repeated row is the same document
+            once[1:] = (place[1:] != place[:-1]) | (okey[1:] != okey[:-1]) | (sh[1:] != sh[:-1]) | (h[1:] != h[:-1])
+            h, sh, okey, place = h[once], sh[once], okey[once], place[once]
+            copy = np.zeros(len(h), bool)
+            copy[1:] = (h[1:] == h[:-1]) & (sh[1:] == sh[:-1])
+            h = np.where(copy, bh.mix(okey.view(np.uint64) + place.view(np.uint64)), h)
+            yield pa.RecordBatch.from_arrays([pa.array(copy), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(okey), pa.array(place)], names=["copy", "h", "sh", "okey", "place"])
+
+    return docs.mapInArrow(task, "copy boolean, h long, sh long, okey long, place long")
+
+
+def sifted(batches):
+    """Rows in the order of (copy, h, sh, okey, place) -> copies of an earlier equal segment, and
+    representatives (copy false) of grams that have several. Keeps one row between batches."""
+    last = None  # h, sh, okey, place, whether it is one of several already
+    row = None  # okey, place of the row before
+    names = ["copy", "h", "okey", "place"]
+    for batch in batches:
+        known, h, sh, okey, place = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        if not len(h):
+            continue
+        kin = np.zeros(len(h), bool)
+        same = np.zeros(len(h), bool)
+        kin[1:] = h[1:] == h[:-1]
+        same[1:] = kin[1:] & (sh[1:] == sh[:-1])
+        if last is not None:
+            kin[0] = h[0] == last[0]
+            same[0] = kin[0] and sh[0] == last[1]
+        again = np.zeros(len(h), bool)  # a repeated row is the same document
+        again[1:] = (okey[1:] == okey[:-1]) & (place[1:] == place[:-1])
+        again[0] = row == (okey[0], place[0])
+        row = (okey[-1], place[-1])
+        again &= same
+        kin[known] = same[known] = False
+        copy = (known | same) & ~again
+        rep = np.flatnonzero(~copy & ~again)
+        out = [copy[copy], h[copy], okey[copy], place[copy]]
+        if len(rep):
+            several = kin[rep]  # one of the same gram stands before
+            if last is not None:
+                if several[0] or last[4]:
+                    out = [np.append(c, v) for c, v in zip(out, (False, last[0], last[2], last[3]))]
+            several[:-1] |= kin[rep[1:]]
+            give = rep[:-1][several[:-1]]
+            out = [np.concatenate([c, v]) for c, v in zip(out, (np.zeros(len(give), bool), h[give], okey[give], place[give]))]
+            r = rep[-1]
+            last = (h[r], sh[r], okey[r], place[r], bool(several[-1]))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, (pa.bool_(), pa.int64(), pa.int64(), pa.int64()))], names=names)
+    if last is not None and last[4]:
+        yield pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((False, last[0], last[2], last[3]), (pa.bool_(), pa.int64(), pa.int64(), pa.int64()))], names=names)
 
 
 # ---- two-stage suffix sorting
@@ -239,66 +302,69 @@ def compressed(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(task, "okey long, z binary")
 
 
-def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """okey, tx, a, b: spans (in bytes) of docs(okey, text) that repeat earlier strings of `length`."""
-    seg = materialize(segments(docs, length, gram), "segments")
-    again = materialize(seg.groupBy("h").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("h"), "grams")
-    hits = materialize(seg.join(again, "h"), "hits")
-
-    def cut(batches):
+def cut_out(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
+    """places(okey, place, group) with the bytes of the segment, from the texts."""
+    def task(batches):
         unpack = zstandard.ZstdDecompressor().decompress
         for whole in batches:
             for at in range(0, whole.num_rows, 500):
-                h, okey, place, data, hashes = [], [], [], [], []
+                okey, place, group, data = [], [], [], []
                 for key, z, got in zip(*(whole.slice(at, 500).column(i) for i in range(3))):
-                    raw = unpack(z.as_py())
-                    tx, own = _tx(raw), got.values
+                    raw, own = unpack(z.as_py()), got.values
                     p = own.field("place").to_numpy()
-                    mine = p >> TX == tx
+                    mine = p >> TX == _tx(raw)
                     p = p[mine]
                     start = (p >> AT) & 0x7FFFFFFF
-                    end = start + (p & 0xFF) + length - 1
-                    h.append(own.field("h").to_numpy()[mine])
-                    hashes.append(bh.spans(bh.sums(np.frombuffer(raw, np.uint8)), start, end).view(np.int64))
                     okey.append(np.full(len(p), key.as_py()))
                     place.append(p)
-                    data += [raw[i:j] for i, j in zip(start.tolist(), end.tolist())]
+                    group.append(own.field("group").to_numpy()[mine])
+                    data += [raw[i:j] for i, j in zip(start.tolist(), (start + (p & 0xFF) + length - 1).tolist())]
                 if data:
-                    yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in (h, hashes, okey, place)], pa.array(data, pa.binary())], names=["h", "sh", "okey", "place", "bytes"])
+                    yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in (group, okey, place)], pa.array(data, pa.binary())], names=["group", "okey", "place", "bytes"])
 
-    per_doc = hits.groupBy("okey").agg(F.collect_set(F.struct("h", "place")).alias("hits"))
-    found = materialize(compressed(docs).join(per_doc, "okey").select("okey", "z", "hits").mapInArrow(cut, "h long, sh long, okey long, place long, bytes binary"), "found")
-    kinds = materialize(found.groupBy("h", "sh").agg(F.min(F.struct("okey", "place")).alias("first")), "kinds")
-    several = materialize(kinds.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "several")
-    rows = found.join(kinds, ["h", "sh"])
-    is_first = (F.col("okey") == F.col("first.okey")) & (F.col("place") == F.col("first.place"))
+    per_doc = places.groupBy("okey").agg(F.collect_set(F.struct("group", "place")).alias("places"))
+    return compressed(docs).join(per_doc, "okey").select("okey", "z", "places").mapInArrow(task, "group long, okey long, place long, bytes binary")
+
+
+def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
+    """okey, spans(tx, a, b): what (in bytes) of docs(okey, text) repeats earlier strings of `length`."""
+    sorted_ = segments(docs, length, gram).repartition("h").sortWithinPartitions("copy", "h", "sh", "okey", "place")
+    sift = materialize(sorted_.mapInArrow(sifted, "copy boolean, h long, okey long, place long"), "segments")
     start = F.shiftright("place", AT).bitwiseAND(0x7FFFFFFF)
-    copies = rows.filter(~is_first).select("okey", F.shiftright("place", TX).alias("tx"), start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b"))
-    reps = materialize(rows.filter(is_first).select("h", "okey", "place", "bytes").dropDuplicates(["h", "okey", "place"]).join(several, "h"), "reps")
+    tx = F.shiftright("place", TX).alias("tx")
+    copies = sift.filter("copy").select("okey", tx, start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b"))
 
-    few = reps.filter(F.col("kinds") <= crowd)
-    total = few.agg(F.coalesce(F.sum(F.length("bytes")), F.lit(0))).first()[0]
+    reps = sift.filter("NOT copy")
+    crowded = materialize(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"), "crowded")
+    few = reps.join(crowded, "h", "left_anti")
+    total = few.agg(F.coalesce(F.sum(F.col("place").bitwiseAND(0xFF) + length - 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET))
-    arrays = few.select(F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("bucket"), "okey", "place", "bytes").groupBy("bucket").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, tx long, a long, b long")
+    few = few.select("okey", "place", F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("group"))
+    arrays = materialize(cut_out(docs, few, length).groupBy("group").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, tx long, a long, b long"), "arrays")
 
     def explode(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 out = []
-                for key, place, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+                for key, place, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
                     n = place & 0xFF
                     i = np.arange(n)
                     arr = np.frombuffer(raw, np.uint8)
-                    out.append((bh.spans(bh.sums(arr), i, i + length), bh.spans(bh.sums(arr[::-1]), i[::-1], i[::-1] + length), np.full(n, key), place + (i << AT)))
+                    back = len(arr) - length - i
+                    out.append((bh.spans(bh.sums(arr), i, i + length), bh.spans(bh.sums(arr[::-1]), back, back + length), np.full(n, key), place + (i << AT)))
                 cols = [np.concatenate(c) for c in zip(*out)] if out else []
                 if cols:
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), pa.array(cols[2]), pa.array(cols[3])], names=["w1", "w2", "okey", "place"])
 
-    many = materialize(reps.filter(F.col("kinds") > crowd).select("okey", "place", "bytes").mapInArrow(explode, "w1 long, w2 long, okey long, place long"), "windows")
+    many = reps.join(crowded, "h", "left_semi").select("okey", "place", F.lit(0).cast("long").alias("group"))
+    many = materialize(cut_out(docs, many, length).mapInArrow(explode, "w1 long, w2 long, okey long, place long"), "windows")
     earliest = materialize(many.groupBy("w1", "w2").agg(F.min(F.struct("okey", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "earliest")
-    crowded = many.join(earliest, ["w1", "w2"]).filter(~is_first).select("okey", F.shiftright("place", TX).alias("tx"), start.alias("a"), (start + length).alias("b"))
-    return materialize(copies.unionByName(arrays).unionByName(crowded), "spans")
+    is_first = (F.col("okey") == F.col("first.okey")) & (F.col("place") == F.col("first.place"))
+    windows = many.join(earliest, ["w1", "w2"]).filter(~is_first).select("okey", tx, start.alias("a"), (start + length).alias("b"))
+    spans = materialize(copies.unionByName(arrays).unionByName(windows).groupBy("okey").agg(F.collect_set(F.struct("tx", "a", "b")).alias("spans")), "spans")
+    release(sift, crowded, arrays, many, earliest)
+    return spans
 
 
 def _merged(raw: bytes, spans) -> tuple[np.ndarray, int]:
@@ -312,11 +378,6 @@ def _merged(raw: bytes, spans) -> tuple[np.ndarray, int]:
     return gone, int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
 
 
-def with_spans(docs: DataFrame, spans: DataFrame) -> DataFrame:
-    """docs(okey, ...) with a list of its spans, null where there is none."""
-    return docs.join(spans.groupBy("okey").agg(F.collect_set(F.struct("tx", "a", "b")).alias("spans")), "okey", "left")
-
-
 def digest(docs: DataFrame) -> DataFrame:
     docs = keyed(docs)
     spans = repeated_spans(docs)
@@ -340,7 +401,7 @@ def digest(docs: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return with_spans(compressed(docs), spans).select("okey", "z", "spans").mapInArrow(task, SCHEMA)
+    return compressed(docs).join(spans, "okey", "left").select("okey", "z", "spans").mapInArrow(task, SCHEMA)
 
 
 def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -349,14 +410,14 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     okey = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
     spans = repeated_spans(keyed(docs), length)
     cols = docs.columns
-    joined = with_spans(docs.withColumn("okey", okey), spans).select(*cols, "spans")
+    joined = docs.withColumn("_okey", okey).join(spans.select(F.col("okey").alias("_okey"), F.col("spans").alias("_spans")), "_okey", "left").select(*cols, "_spans")
 
     def task(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
                 texts, keep = b.column("text").to_pylist(), []
-                for i, got in enumerate(b.column("spans")):
+                for i, got in enumerate(b.column("_spans")):
                     if got.is_valid:
                         raw = _raw(texts[i])
                         gone, _ = _merged(raw, got.values)
