@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("op1_packing", "op2_fingerprint", "op4_media", "op5_jaccard_join", "op6_language", "op7_sharding", "op8_mixing", "op9_url_filter", "op10_suffix_array")
+MODULES = tuple("op1_packing op2_fingerprint op3_extraction op4_media op5_jaccard_join op6_language op7_sharding op8_mixing op9_url_filter op10_suffix_array".split())
 
 
 def _modules():
