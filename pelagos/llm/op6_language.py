@@ -215,6 +215,20 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
     return src.mapInArrow(task, schema)
 
 
+def kept_languages(docs: DataFrame, model: Model | None, least: float = NEAREST) -> DataFrame:
+    """docs without those that have no language (`und`) or a score under `least`."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+
+    def task(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1000):
+                part = batch.slice(at, 1000)
+                langs, scores = predict(held.value, part.column("text").to_pylist())
+                yield part.filter(pa.array([x != "und" and y >= least for x, y in zip(langs, scores)], pa.bool_()))
+
+    return docs.mapInArrow(task, docs.schema)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return identify(docs.withColumn("doc_id", F.col("doc_id").cast("long")), train(docs))

@@ -74,6 +74,13 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: i
     return full.unionByName(part)
 
 
+def mixed(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
+    """docs with each row as often as the mix takes it, to the nearest whole number."""
+    times = mix(docs, weights, epochs, seed).filter("taken > 0").select(F.col("doc_id").alias("_id"), (F.col("taken") + F.expr("size div 2")).alias("_t"), F.col("size").alias("_s"))
+    times = times.groupBy("_id").agg(F.expr("max(_t div _s)").cast("int").alias("_n")).filter("_n > 0")
+    return docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
