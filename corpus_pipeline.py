@@ -1,13 +1,49 @@
-"""Corpus pipeline: language ID, near-duplicate join, repeated passages, source mix, packing."""
+"""Corpus pipeline: language ID, near-duplicate join, repeated passages, source mix, packing.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of the stage before; all but the
+last return the columns of documents. run() applies them to the documents of sf_dir.
+"""
 
 from __future__ import annotations
 
-STAGES = []
-ORACLE_SQL = None
+from pyspark.sql import DataFrame, SparkSession
+
+from pelagos.llm import op1_packing, op5_jaccard_join, op6_language, op8_mixing, op10_suffix_array
+from pelagos.session import materialize, table
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language, or whose language holds less than half of them, go."""
+    return op6_language.kept_languages(docs, op6_language.train(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Five-word shingles at a similarity of 0.8: the smallest doc_id of each group stays."""
+    return op5_jaccard_join.first_of_groups(docs, op5_jaccard_join.Rule(5, 80, 100))
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes covered by a 100-byte string that occurs earlier are cut."""
+    return op10_suffix_array.clean(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents are repeated or left out so that sources meet their target weights."""
+    return op8_mixing.mixed(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of nearly full token windows."""
+    return op1_packing.pack_documents(docs)
+
+
+STAGES = [("language", language), ("near_duplicates", near_duplicates), ("repeated_passages", repeated_passages), ("mix", mix), ("pack", pack)]
+
+ORACLE_SQL = None  # a classifier and BPE are in it; tested against a brute-force version
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = materialize(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
