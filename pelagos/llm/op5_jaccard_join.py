@@ -9,10 +9,10 @@
 3. Classes meet on a prefix shingle. Length and positional filters are part of the join; the
    suffix filter compares the counts of shingles in 16 hash ranges, a lower bound of the
    symmetric difference. A pair left over is verified once, on whole sets.
-4. A group of near copies isn't spelt out into pairs: first each class meets the shortest and
-   the longest of its block and length, and the links found give components; then only pairs
-   of different components meet. A link left out lies inside a component, which it couldn't
-   change.
+4. A group of near copies isn't spelt out into pairs: first each class meets LEADERS others
+   of its block and length, and the links found give components; then only pairs of different
+   components meet. A link left out lies inside a component, which it
+   couldn't change.
 
 Shingles are compared as 64-bit hashes. Defined results: text that is null or without words
 has no shingle and is its own component; a null doc_id sorts before all others and its
@@ -31,10 +31,10 @@ from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
 from pelagos.operators.graph import connected_components
-from pelagos.session import materialize, table
+from pelagos.session import materialize, release, table
 
 NAME = "op5_prefix_filter"
-RARE, TABLE, PER_BUCKET, SMALL = 8, 2_000_000, 1 << 20, 1_000_000
+RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 8
 NULL = -(1 << 63)
 
 
@@ -88,7 +88,7 @@ def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     bits = max(0, min(24, (total // 6 // PER_BUCKET).bit_length()))
 
     def count(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, 4000) for whole in batches for at in range(0, whole.num_rows, 4000)):
             _, h = shingles(_raws(batch.column(0)), rule.words)
             h, n = np.unique(h, return_counts=True)
             bucket = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
@@ -160,6 +160,20 @@ def _survivors(pairs: DataFrame, classes: DataFrame, rule: Rule) -> DataFrame:
     return joined.filter(f"({_far('a1', 'b1')} + {_far('a2', 'b2')}) <= {most}").select("a", "b")
 
 
+def _stars(rows: DataFrame, rule: Rule) -> DataFrame:
+    """Pairs (a, b) of each class with LEADERS others of its block and length class that pass the
+    filters. Of LEADERS classes drawn by a hash, the one that has the shared shingle foremost
+    leads: little in it is rarer than what the group shares, so it is near the group's middle.
+    Leaders are minima, combined before the shuffle."""
+    me = ["n", "rep", "pos"]
+    draw = F.pmod(F.xxhash64("rep"), F.lit(LEADERS))
+    lead = [F.min(F.when(draw == i, F.struct("pos", "n", "rep"))).alias(f"l{i}") for i in range(LEADERS)]
+    lead = materialize(rows.groupBy("shingle", "grade").agg(F.count(F.lit(1)).alias("m"), *lead).filter("m > 1").select("shingle", "grade", F.array_compact(F.array(*[F.col(f"l{i}") for i in range(LEADERS)])).alias("leaders")), "leaders")
+    pairs = rows.join(lead, ["shingle", "grade"]).select(F.struct(*me).alias("x"), F.explode(F.expr(
+        f"filter(leaders, y -> y.rep <> rep AND least(n, y.n) * {rule.den} >= greatest(n, y.n) * {rule.num})")).alias("y"))
+    return pairs.filter(_filters(rule, "x", "y")).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
 def _alpha(rule: Rule, na: str, nb: str) -> str:
     """The least intersection of sets that link."""
     return f"(({rule.num} * ({na} + {nb}) + {rule.num + rule.den - 1}) div {rule.num + rule.den})"
@@ -200,23 +214,17 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     shared = materialize(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle"), "shared")
     rows = materialize(rows.join(shared, "shingle"), "blocks")
 
-    # stars: the shortest and the longest of a block and length class
-    grade = F.floor(F.log(F.col("n")) / float(np.log(rule.den / rule.num)))
-    graded = rows.withColumn("grade", grade)
-    me = F.struct("n", "rep", "pos")
-    lead = materialize(graded.groupBy("shingle", "grade").agg(F.min(me).alias("lo"), F.max(me).alias("hi")).filter("lo.rep <> hi.rep"), "leaders")
-    stars = graded.join(lead, ["shingle", "grade"]).select("rep", "n", "pos", F.explode(F.array("lo", "hi")).alias("l")).filter("rep <> l.rep")
-    stars = stars.select(F.struct("rep", "n", "pos").alias("x"), F.col("l").alias("y")).filter(_filters(rule, "x", "y")).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
-    links = verified(materialize(_survivors(stars, classes, rule), "stars"), docs, rule)
-    links = materialize(links, "links")
+    # stars first
+    grade = F.floor(F.log(F.col("n")) / float(np.log(rule.den / rule.num))).cast("int")
+    links = materialize(verified(materialize(_survivors(_stars(rows.withColumn("grade", grade), rule), classes, rule), "stars"), docs, rule), "links")
     part = connected_components(links)
 
     # what is left: pairs of different components, in blocks that hold several
-    held = rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
-    held = materialize(held, "parts")
+    held = materialize(rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part")), "parts")
     mixed = materialize(held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle"), "mixed")
-    held = materialize(held.join(mixed, "shingle"), "rest")
-    x, y = held.alias("x"), held.alias("y")
+    rest = materialize(held.join(mixed, "shingle"), "rest")
+    release(rows, held, mixed)
+    x, y = rest.alias("x"), rest.alias("y")
     more = x.join(y, F.expr(f"x.shingle = y.shingle AND x.rep < y.rep AND x.part <> y.part AND {_filters(rule, 'x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     found = materialize(verified(materialize(_survivors(more, classes, rule), "pairs"), docs, rule), "links")
     whole = connected_components(links.union(found))
