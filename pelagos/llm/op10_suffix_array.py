@@ -93,7 +93,7 @@ def segments(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
     """h, sh, okey and place of the segments of docs(okey, text). Of equal segments in a batch
     the first stands for all; the others are known copies, spread evenly."""
     def task(batches):
-        for batch in batches:
+        for batch in (whole.slice(at, 3000) for whole in batches for at in range(0, whole.num_rows, 3000)):
             key = batch.column(0).to_numpy()
             raws = [_raw(t.as_py()) for t in batch.column(1)]
             tx = np.array([_tx(r) for r in raws], np.int64)
