@@ -168,7 +168,7 @@ def _stars(rows: DataFrame, rule: Rule) -> DataFrame:
     me = ["n", "rep", "pos"]
     draw = F.pmod(F.xxhash64("rep"), F.lit(LEADERS))
     lead = [F.min(F.when(draw == i, F.struct("pos", "n", "rep"))).alias(f"l{i}") for i in range(LEADERS)]
-    lead = materialize(rows.groupBy("shingle", "grade").agg(F.count(F.lit(1)).alias("m"), *lead).filter("m > 1").select("shingle", "grade", F.array_compact(F.array(*[F.col(f"l{i}") for i in range(LEADERS)])).alias("leaders")), "leaders")
+    lead = rows.groupBy("shingle", "grade").agg(F.count(F.lit(1)).alias("m"), *lead).filter("m > 1").select("shingle", "grade", F.array_compact(F.array(*[F.col(f"l{i}") for i in range(LEADERS)])).alias("leaders"))
     pairs = rows.join(lead, ["shingle", "grade"]).select(F.struct(*me).alias("x"), F.explode(F.expr(
         f"filter(leaders, y -> y.rep <> rep AND least(n, y.n) * {rule.den} >= greatest(n, y.n) * {rule.num})")).alias("y"))
     return pairs.filter(_filters(rule, "x", "y")).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
@@ -211,7 +211,7 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     filled = sig.filter("n > 0")
     classes = materialize(filled.groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")), "classes")
     rows = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = materialize(rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle"), "shared")
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle")
     rows = materialize(rows.join(shared, "shingle"), "blocks")
 
     # stars first
@@ -220,10 +220,10 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     part = connected_components(links)
 
     # what is left: pairs of different components, in blocks that hold several
-    held = materialize(rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part")), "parts")
-    mixed = materialize(held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle"), "mixed")
+    held = rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
+    mixed = held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
     rest = materialize(held.join(mixed, "shingle"), "rest")
-    release(rows, held, mixed)
+    release(rows)
     x, y = rest.alias("x"), rest.alias("y")
     more = x.join(y, F.expr(f"x.shingle = y.shingle AND x.rep < y.rep AND x.part <> y.part AND {_filters(rule, 'x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
     found = materialize(verified(materialize(_survivors(more, classes, rule), "pairs"), docs, rule), "links")
@@ -231,7 +231,6 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
     # a node is a class's first okey; a node of its own where there is no shingle
     place = classes.select("s1", "s2", "rep").join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
-    place = materialize(place, "places")
     linked = filled.select("okey", "n", "s1", "s2").join(place, ["s1", "s2"]).select("okey", F.col("n").alias("n_shingles"), "component")
     return linked.union(sig.filter("n = 0").select("okey", "n", "okey"))
 
