@@ -78,7 +78,7 @@ def lower(b: np.ndarray) -> np.ndarray:
     return _LOWER[b]
 
 
-def chunks(texts: list, most: int = 1 << 20):
+def chunks(texts: list, most: int = 1 << 18):
     """Runs of texts of about `most` bytes: (first index, concatenated UTF-8 with a line feed
     after each, start of each). A longer text is a run of its own."""
     held, first, size = [], 0, 0

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import materialize, release, table
+from pelagos.session import long_rows, materialize, release, table
 
 NAME = "op10_two_stage_suffixes"
 LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
@@ -287,7 +287,7 @@ def _bucket_spans(rows: pa.Table, length: int) -> pa.Table:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.coalesce("text", F.lit("")).alias("text"))
+    return long_rows(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def compressed(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import table
+from pelagos.session import long_rows, table
 
 NAME = "op2_invertible_bloom"
 CELLS, GROW, CUT, PER_RANGE, MOST_RANGES = 24, 4, 8, 4096, 20_000
@@ -43,7 +43,7 @@ SCHEMA = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, e
 def digests(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(number of the text, digest) of every paragraph of every text, sorted."""
     docs, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    for first, b, starts in bh.chunks(texts, 4 << 20):
+    for first, b, starts in bh.chunks(texts):
         s = bh.sums(b)
         start, end = bh.words(b)
         if not len(start):
@@ -206,7 +206,7 @@ def ranges(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
 
 def ordered(docs: DataFrame) -> DataFrame:
     """part, guest, okey, doc_id, z (the compressed text), sorted inside each part."""
-    docs = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = long_rows(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds, guests = ranges(docs)
     keys = np.array(sorted(guests), np.int64)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from pelagos.session import materialize, table
+from pelagos.session import long_rows, materialize, table
 
 NAME = "op3_union_free_wrappers"
 SAMPLE, WRAPPERS, PERIOD = 8, 4_000_000, 4
@@ -328,7 +328,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    pages = _hosted(pages)
+    pages = _hosted(long_rows(pages))
     known = materialize(wrappers(pages), "wrappers")
     size = known.agg(F.coalesce(F.sum(F.length("host") + F.length("wrapper")), F.lit(0))).first()[0]
     joined = pages.join(F.broadcast(known) if size <= WRAPPERS else known, "host", "left").select("page_id", "url", "html", "wrapper")

@@ -24,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from pelagos.session import table
+from pelagos.session import long_rows, table
 
 NAME = "op4_progressive_jpeg"
 PAD, PER_BLOCK, BANDS, ROWS = 64, 63, ((1, 5), (6, 63)), 256
@@ -383,7 +383,7 @@ def store(docs: DataFrame) -> DataFrame:
                     yield doc, n, encode(n, data)
         yield from _batches(rows(), schema)
 
-    return docs.selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(task, MEDIA)
+    return long_rows(docs).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(task, MEDIA)
 
 
 def tensors(media: DataFrame) -> DataFrame:

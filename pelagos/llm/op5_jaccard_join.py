@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
 from pelagos.operators.graph import connected_components
-from pelagos.session import materialize, release, table
+from pelagos.session import long_rows, materialize, release, table
 
 NAME = "op5_prefix_filter"
 RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 8
@@ -236,7 +236,7 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
 
 
 def keyed(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)).alias("okey"), F.coalesce("text", F.lit("")).alias("text"))
+    return long_rows(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)).alias("okey"), F.coalesce("text", F.lit("")).alias("text"))
 
 
 def first_of_groups(docs: DataFrame, rule: Rule = Rule(5, 80, 100)) -> DataFrame:

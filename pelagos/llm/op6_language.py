@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import table
+from pelagos.session import long_rows, table
 
 NAME = "op6_conditional_random_field"
 PER_LANG, SAMPLE_CHARS, CHAIN, BITS, EPOCHS, SEED = 120, 20_000, 64, 16, 6, 6
@@ -201,7 +201,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
     """The columns `keep` of docs, held_out, lang_pred and score. The model's size is fixed by
     BITS and the number of languages, whatever the corpus."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    src = docs.select(*keep, F.col("text").alias("_text"), held_out(F.col("doc_id")).alias("held_out"))
+    src = long_rows(docs).select(*keep, F.col("text").alias("_text"), held_out(F.col("doc_id")).alias("held_out"))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text") + ", lang_pred string, score double"
 
     def task(batches):
@@ -226,7 +226,7 @@ def kept_languages(docs: DataFrame, model: Model | None, least: float = NEAREST)
                 langs, scores = predict(held.value, part.column("text").to_pylist())
                 yield part.filter(pa.array([x != "und" and y >= least for x, y in zip(langs, scores)], pa.bool_()))
 
-    return docs.mapInArrow(task, docs.schema)
+    return long_rows(docs).mapInArrow(task, docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
