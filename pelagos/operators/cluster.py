@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pelagos.operators.graph import connected_components
 from pelagos.operators.spatial import cell_join, renamed
-from pelagos.session import materialize
+from pelagos.session import cut
 
 
 def dbscan(points: DataFrame, eps: float, least: int = 3) -> DataFrame:
@@ -15,11 +15,11 @@ def dbscan(points: DataFrame, eps: float, least: int = 3) -> DataFrame:
     has `least` points within eps, itself included; a border point goes to the smallest cluster."""
     d = F.sqrt(F.pow(F.col("x_a") - F.col("x_b"), 2) + F.pow(F.col("y_a") - F.col("y_b"), 2))
     p = points.select("id", "x", "y")
-    near = materialize(cell_join(renamed(p, "_a"), renamed(p, "_b"), "y_a", "x_a", "y_b", "x_b", float(eps), float(eps), d <= eps).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "near")
-    core = materialize(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select(F.col("a").alias("id")), "cores")
+    near = cut(cell_join(renamed(p, "_a"), renamed(p, "_b"), "y_a", "x_a", "y_b", "x_b", float(eps), float(eps), d <= eps).select(F.col("id_a").alias("a"), F.col("id_b").alias("b")), "near")
+    core = cut(near.groupBy("a").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= least).select(F.col("a").alias("id")), "cores")
     inner = near.join(core.withColumnRenamed("id", "a"), "a").join(core.withColumnRenamed("id", "b"), "b").filter("a <> b")
     parts = connected_components(inner.select("a", "b"))
-    label = materialize(core.join(parts, "id", "left").select("id", F.coalesce("component", "id").alias("cluster")), "labels")
+    label = cut(core.join(parts, "id", "left").select("id", F.coalesce("component", "id").alias("cluster")), "labels")
     border = near.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("cluster").alias("near_cluster"))
     return p.select("id").join(label, "id", "left").join(border, "id", "left").select("id", F.coalesce("cluster", "near_cluster", F.lit(-1)).alias("cluster"))
 

@@ -2,7 +2,7 @@
 
 The result is the lexicographically first independent set by (score desc, id). Each round
 keeps the undecided rows without a better undecided neighbour and drops their neighbours;
-conflicts come from a grid-cell join, rounds are written to the shared folder. Nothing is
+conflicts come from a grid-cell join, every round is written to the shared folder. Nothing is
 gathered by scene, so a scene may be of any size.
 """
 
@@ -13,22 +13,21 @@ from pyspark.sql import functions as F
 
 from pelagos.functions.geo import iou
 from pelagos.operators.spatial import box_pairs, cell_join, renamed
-from pelagos.session import materialize, release
+from pelagos.session import cut, keep, release
 
 
 def independent(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """rows(id, ...) that stay, given edges(winner, loser) of conflicts."""
-    edges = materialize(edges.select("winner", "loser").distinct(), "conflicts")
-    out, live = None, edges
-    kept, gone = [], []
+    live, out = cut(edges.select("winner", "loser").distinct(), "conflicts"), None
+    gone = []
     while not live.isEmpty():
         losers = live.select(F.col("loser").alias("id")).distinct()
-        top = materialize(live.select(F.col("winner").alias("id")).distinct().join(losers, "id", "left_anti"), "kept")
-        drop = materialize(live.join(top.withColumnRenamed("id", "winner"), "winner").select(F.col("loser").alias("id")).distinct(), "dropped")
-        kept.append(top)
+        top = cut(live.select(F.col("winner").alias("id")).distinct().join(losers, "id", "left_anti"), "kept")
+        drop = cut(live.join(top.withColumnRenamed("id", "winner"), "winner").select(F.col("loser").alias("id")).distinct(), "dropped")
         gone.append(drop)
         done = top.union(drop)
-        before, live = live, materialize(live.join(done.withColumnRenamed("id", "winner"), "winner", "left_anti").join(done.withColumnRenamed("id", "loser"), "loser", "left_anti"), "conflicts")
+        rest = live.join(done.withColumnRenamed("id", "winner"), "winner", "left_anti").join(done.withColumnRenamed("id", "loser"), "loser", "left_anti")
+        before, live = live, cut(rest, "conflicts")
         release(before)
     for d in gone:
         out = d if out is None else out.union(d)
@@ -73,9 +72,9 @@ def weighted_merge(rows: DataFrame, radius: float = 0.001, compat: bool = True)
     counts the primary twice), score the maximum, sizes means of positive values."""
     d = F.sqrt(F.pow(F.col("lon_a") - F.col("lon_b"), 2) + F.pow(F.col("lat_a") - F.col("lat_b"), 2))
     slim = rows.select("id", "lon", "lat", "quality")
-    pairs = materialize(cell_join(renamed(slim, "_a"), renamed(slim, "_b"), "lat_a", "lon_a", "lat_b", "lon_b", radius, radius, (F.col("id_a") < F.col("id_b")) & (d < radius)), "near")
+    pairs = cut(cell_join(renamed(slim, "_a"), renamed(slim, "_b"), "lat_a", "lon_a", "lat_b", "lon_b", radius, radius, (F.col("id_a") < F.col("id_b")) & (d < radius)), "near")
     edges = _edges(pairs, "quality")
-    primary = materialize(independent(slim, edges), "primaries")
+    primary = cut(independent(slim, edges), "primaries")
     take = edges.join(primary.select(F.col("id").alias("winner"), F.col("quality").alias("q")), "winner")
     taken = take.groupBy("loser").agg(F.max(F.struct("q", (-F.col("winner")).alias("w"))).alias("m")).select(F.col("loser").alias("id"), (-F.col("m.w")).alias("primary"))
     own = primary.select("id", F.col("id").alias("primary"))
@@ -94,9 +93,9 @@ def multi_scale_merge(rows: DataFrame, window: str = "window_size", most: float
     near = (F.abs(F.col("px_row_a") - F.col("px_row_b")) <= F.col("threshold_a")) & (F.abs(F.col("px_col_a") - F.col("px_col_b")) <= F.col("threshold_a"))
     better = (F.col("score_a") > F.col("score_b")) | ((F.col("score_a") == F.col("score_b")) & (F.col("id_a") < F.col("id_b")))
     slim = rows.select("id", "px_row", "px_col", "score", "threshold")
-    pairs = materialize(cell_join(renamed(slim, "_a"), renamed(slim, "_b"), "px_row_a", "px_col_a", "px_row_b", "px_col_b", most, most, (F.col("id_a") != F.col("id_b")) & near), "near")
+    pairs = cut(cell_join(renamed(slim, "_a"), renamed(slim, "_b"), "px_row_a", "px_col_a", "px_row_b", "px_col_b", most, most, (F.col("id_a") != F.col("id_b")) & near), "near")
     heads = independent(slim, pairs.filter(better).select(F.col("id_a").alias("winner"), F.col("id_b").alias("loser")))
-    heads = materialize(heads.select("id"), "heads")
+    heads = cut(heads.select("id"), "heads")
     members = heads.select(F.col("id").alias("head"), "id").union(pairs.join(heads.withColumnRenamed("id", "id_a"), "id_a").select(F.col("id_a").alias("head"), F.col("id_b").alias("id")))
     bonus = F.col("score") + F.when(F.col("vessel_length_m") > 0, 0.1).otherwise(0.0) + F.when(F.col("vessel_width_m") > 0, 0.1).otherwise(0.0) + (1024 - F.col(window)) / 1024 * 0.1
     ranked = members.join(rows, "id").withColumn("bonus", bonus)

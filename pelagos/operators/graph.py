@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pelagos.session import materialize, release
+from pelagos.session import cut, release
 
 
 def _large(edges: DataFrame) -> DataFrame:
@@ -24,10 +24,10 @@ def _small(edges: DataFrame) -> DataFrame:
 
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges(a, b) of longs -> id, component (the least id reachable) of every id in an edge."""
-    now = materialize(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
+    now = cut(edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "edges")
     before = None
     while True:
-        last, now = now, materialize(_small(_large(now).filter("u <> v").distinct()).filter("u <> v").distinct(), "edges")
+        last, now = now, cut(_small(_large(now).filter("u <> v").distinct()).filter("u <> v").distinct(), "edges")
         release(last)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:

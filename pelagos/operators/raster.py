@@ -64,3 +64,22 @@ def best_offset(a: DataFrame, b: DataFrame, steps: tuple[int, ...] = (-2, 1)) ->
     moved = b.withColumn("s", shifts).select("s", (F.col("cy") + F.col("s.dy")).alias("cy"), (F.col("cx") + F.col("s.dx")).alias("cx"), F.col("v").alias("vb"))
     m = a.join(moved, ["cx", "cy"]).groupBy("s").agg(F.avg(F.col("v") * F.col("vb")).alias("mean"))
     return m.orderBy(F.desc("mean"), "s.dy", "s.dx").limit(1).select("s.dy", "s.dx", "mean")
+
+
+#: 3 x 3 kernels.
+KERNELS = {"sobel_x": ((-1, 0, 1), (-2, 0, 2), (-1, 0, 1)), "sobel_y": ((-1, -2, -1), (0, 0, 0), (1, 2, 1)), "blur": ((1 / 9,) * 3,) * 3}
+
+
+def convolve(cells: DataFrame, band: str, kernel: str) -> DataFrame:
+    """cx, cy, value of a 3 x 3 kernel; cells outside the image count as 0. Each cell is sent to the
+    cells it weighs on, and sums are combined before the shuffle."""
+    k = KERNELS[kernel]
+    moves = F.array(*[F.struct(F.lit(1 - j).alias("dx"), F.lit(1 - i).alias("dy"), F.lit(float(k[i][j])).alias("w")) for i in range(3) for j in range(3) if k[i][j]])
+    sent = cells.select("cx", "cy", band, F.explode(moves).alias("m")).select((F.col("cx") + F.col("m.dx")).alias("cx"), (F.col("cy") + F.col("m.dy")).alias("cy"), (F.col(band) * F.col("m.w")).alias("v"))
+    out = sent.groupBy("cx", "cy").agg(F.sum("v").alias("value"))
+    return cells.select("cx", "cy").join(out, ["cx", "cy"], "left").withColumn("value", F.coalesce("value", F.lit(0.0)))
+
+
+def not_empty(tiles: DataFrame) -> DataFrame:
+    """Tiles (payload) with a byte other than 0."""
+    return tiles.filter(F.hex("payload").rlike("[1-9A-F]"))

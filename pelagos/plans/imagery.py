@@ -123,3 +123,26 @@ def lookups(spark, d):
     i = view(spark, d, "images").select(F.col("id").alias("image_id"), "uuid")
     n = view(spark, d, "labels").groupBy(F.col("window_id").alias("id")).agg(F.count(F.lit(1)).alias("labels"))
     return w.join(i, "image_id").join(n, "id", "left").select("id", "split", "uuid", F.coalesce("labels", F.lit(0)).alias("labels"))
+
+
+_AT = lambda dx, dy: f"coalesce((SELECT n.vv FROM cells n WHERE n.cx = c.cx + {dx} AND n.cy = c.cy + {dy}), 0e0)"
+
+
+@query("r04_sobel_kernel", C + f"SELECT cx, cy, round(-1 * {_AT(-1, -1)} + {_AT(1, -1)} - 2 * {_AT(-1, 0)} + 2 * {_AT(1, 0)} - {_AT(-1, 1)} + {_AT(1, 1)}, 6) + 0e0 AS value FROM cells c")
+def sobel(spark, d):
+    return raster.convolve(view(spark, d, "cells"), "vv", "sobel_x").select("cx", "cy", (F.round("value", 6) + 0.0).alias("value"))
+
+
+@query("a34_window_statistics", C + ", w AS (" + _grid(64, 64, 8, 8) + "), s AS (SELECT w.row, w.col, sum(CASE WHEN vv > 240 THEN 1 ELSE 0 END) AS n FROM w LEFT JOIN cells ON cy >= row AND cy < row + 8 AND cx >= col AND cx < col + 8 GROUP BY w.row, w.col) SELECT count(*) AS total, count(CASE WHEN n = 0 THEN 1 END) AS skipped, round(100e0 * count(CASE WHEN n = 0 THEN 1 END) / count(*), 6) AS skipped_pct FROM s")
+def window_stats(spark, d):
+    cells = view(spark, d, "cells").withColumn("water", F.when(F.col("vv") > 240, 1).otherwise(0))
+    w = raster.coverage(V.sliding(spark, 64, 64, 8, 8), cells, 8)
+    none = F.count_if(F.col("water_share") == 0)
+    return w.agg(F.count(F.lit(1)).alias("total"), none.alias("skipped"), F.round(100.0 * none / F.count(F.lit(1)), 6).alias("skipped_pct"))
+
+
+@query("x07_model_as_table_function")
+def model(spark, d):
+    from pelagos.operators import extensions as X
+    t = spark.range(6).select((F.col("id") % 2).alias("tile_row"), F.expr("id div 2").alias("tile_col"), F.lit(1).alias("height"), F.lit(1).alias("width"), F.when(F.col("id") % 3 == 0, F.expr("X'00000000'")).otherwise(F.expr("X'0000803F'")).alias("payload"))
+    return X.apply_model(raster.not_empty(t), "bright_cells")

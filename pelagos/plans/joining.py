@@ -137,6 +137,15 @@ def points(spark, d):
     return c
 
 
+@query("a24_scene_metrics")
+def metrics(spark, d):
+    b = view(spark, d, "boxes")
+    t = assign.match_points(b.filter("is_gt = 1"), b.filter("is_gt = 0")).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
+    ok, tp = F.col("tp") > 0, F.col("tp").cast("double")
+    p, r = tp / (F.col("tp") + F.col("fp")), tp / (F.col("tp") + F.col("fn"))
+    return t.select("tp", "fp", "fn", *[F.when(ok, F.round(x, 6)).otherwise(0.0).alias(n) for x, n in ((p, "precision"), (r, "recall"), (2 * p * r / (p + r), "f1"))])
+
+
 @query("j24_box_matching")
 def boxes(spark, d):
     b = view(spark, d, "boxes").selectExpr("id", "scene_id", "is_gt", "x - 12 AS x1", "y - 12 AS y1", "x + 12 AS x2", "y + 12 AS y2")

@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 _CLEAN_UP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
@@ -53,9 +54,30 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
     return out
 
 
+def keep(df: DataFrame) -> DataFrame:
+    """df computed once and held in executors' memory and disks. What a lost executor held is
+    computed again from its lineage; materialize() is for long lineages and for large tables."""
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df.count()
+    return df
+
+
+def cut(df: DataFrame, tag: str, per_file: int = 200_000) -> DataFrame:
+    """materialize() into few files: computed in parallel, counted, then written with about
+    per_file rows a file. For small tables that are read many times, as in loops."""
+    held = keep(df)
+    out = materialize(held.coalesce(max(1, -(-held.count() // per_file))), tag)
+    release(held)
+    return out
+
+
 def release(*dfs: DataFrame) -> None:
-    """Delete tables written by materialize() once what was made of them is written too."""
+    """Let go of what keep() holds; delete what materialize() wrote, once what was made of it is
+    there."""
     for df in dfs:
+        if not hasattr(df, "_pelagos_path"):
+            df.unpersist()
+            continue
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._pelagos_path)
         path.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 

@@ -113,3 +113,12 @@ def run_summary(results: DataFrame) -> DataFrame:
 
 def service_payload(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(F.col("detect_id").cast("string").alias("id"), F.round("lon", 6).alias("lon"), F.round("lat", 6).alias("lat"))).alias("payload"))
+
+
+def export_all(df: DataFrame, path: str) -> dict[str, str]:
+    """CSV and GeoJSON lines of the canonical columns; the status of each form."""
+    status = {}
+    for name, write in (("csv", lambda p: write_csv(canonical(df), p)), ("geojson", lambda p: point_features(df, [c for c in ("detect_id", "confidence", "vessel_type") if c in df.columns]).select("feature").write.mode("overwrite").text(p))):
+        write(f"{path}/{name}")
+        status[name] = f"{path}/{name}"
+    return status
