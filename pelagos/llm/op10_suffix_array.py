@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import long_rows, materialize, release, table
+from pelagos.session import keep, long_rows, materialize, table
 
 NAME = "op10_two_stage_suffixes"
 LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
@@ -335,12 +335,12 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     copies = sift.filter("copy").select("okey", tx, start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b"))
 
     reps = sift.filter("NOT copy")
-    crowded = materialize(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"), "crowded")
+    crowded = keep(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"))
     few = reps.join(crowded, "h", "left_anti")
     total = few.agg(F.coalesce(F.sum(F.col("place").bitwiseAND(0xFF) + length - 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET))
     few = few.select("okey", "place", F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("group"))
-    arrays = materialize(cut_out(docs, few, length).groupBy("group").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, tx long, a long, b long"), "arrays")
+    arrays = keep(cut_out(docs, few, length).groupBy("group").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, tx long, a long, b long"))
 
     def explode(batches):
         for whole in batches:
@@ -358,13 +358,11 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), pa.array(cols[2]), pa.array(cols[3])], names=["w1", "w2", "okey", "place"])
 
     many = reps.join(crowded, "h", "left_semi").select("okey", "place", F.lit(0).cast("long").alias("group"))
-    many = materialize(cut_out(docs, many, length).mapInArrow(explode, "w1 long, w2 long, okey long, place long"), "windows")
-    earliest = materialize(many.groupBy("w1", "w2").agg(F.min(F.struct("okey", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"), "earliest")
+    many = keep(cut_out(docs, many, length).mapInArrow(explode, "w1 long, w2 long, okey long, place long"))
+    earliest = keep(many.groupBy("w1", "w2").agg(F.min(F.struct("okey", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     is_first = (F.col("okey") == F.col("first.okey")) & (F.col("place") == F.col("first.place"))
     windows = many.join(earliest, ["w1", "w2"]).filter(~is_first).select("okey", tx, start.alias("a"), (start + length).alias("b"))
-    spans = materialize(copies.unionByName(arrays).unionByName(windows).groupBy("okey").agg(F.collect_set(F.struct("tx", "a", "b")).alias("spans")), "spans")
-    release(sift, crowded, arrays, many, earliest)
-    return spans
+    return copies.unionByName(arrays).unionByName(windows).groupBy("okey").agg(F.collect_set(F.struct("tx", "a", "b")).alias("spans"))
 
 
 def _merged(raw: bytes, spans) -> tuple[np.ndarray, int]:

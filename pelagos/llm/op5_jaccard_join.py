@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
 from pelagos.operators.graph import connected_components
-from pelagos.session import long_rows, materialize, release, table
+from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op5_prefix_filter"
 RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 8
@@ -103,7 +103,7 @@ def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         n = np.bincount(inv, np.concatenate([np.ones(len(lone)), counts]), len(h)).astype(np.int64)
         return pa.table({"h": h[n >= RARE].view(np.int64), "n": n[n >= RARE]})
 
-    counted = materialize(docs.select("text").mapInArrow(count, "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"), "counts")
+    counted = keep(docs.select("text").mapInArrow(count, "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"))
     sizes = sorted((r.k, r.m) for r in counted.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count(F.lit(1)).alias("m")).collect())
     least = RARE
     while sum(m for k, m in sizes if 1 << k >= least) > TABLE:
@@ -188,7 +188,7 @@ def _filters(rule: Rule, x: str, y: str) -> str:
 def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs that link. The sets of the documents in them come from the texts again; a list
     of at most SMALL ids is broadcast for that, a longer one is joined."""
-    ids = materialize(pairs.select(F.col("a").alias("okey")).union(pairs.select(F.col("b").alias("okey"))).distinct(), "ids")
+    ids = cut(pairs.select(F.col("a").alias("okey")).union(pairs.select(F.col("b").alias("okey"))).distinct(), "ids")
     wanted = docs.join(F.broadcast(ids) if ids.count() <= SMALL else ids, "okey", "left_semi")
 
     def task(batches):
@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 ends = np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["okey", "set"])
 
-    sets = materialize(wanted.mapInArrow(task, "okey long, set array<long>"), "sets")
+    sets = keep(wanted.mapInArrow(task, "okey long, set array<long>"))
     both = pairs.join(sets.select(F.col("okey").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("okey").alias("b"), F.col("set").alias("sb")), "b")
     both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
     return both.filter(f"{rule.den} * i >= {rule.num} * (size(sa) + size(sb) - i)").select("a", "b").distinct()
@@ -209,24 +209,25 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """okey, n_shingles, component (an okey) of docs(okey, text)."""
     sig = materialize(signatures(docs, rule, common(docs, rule)), "signatures")
     filled = sig.filter("n > 0")
-    classes = materialize(filled.groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")), "classes")
+    classes = keep(filled.groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")))
     rows = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "shingle"))
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle")
-    rows = materialize(rows.join(shared, "shingle"), "blocks")
+    rows = keep(rows.join(shared, "shingle"))
 
     # stars first
     grade = F.floor(F.log(F.col("n")) / float(np.log(rule.den / rule.num))).cast("int")
-    links = materialize(verified(materialize(_survivors(_stars(rows.withColumn("grade", grade), rule), classes, rule), "stars"), docs, rule), "links")
+    links = cut(verified(cut(_survivors(_stars(rows.withColumn("grade", grade), rule), classes, rule), "stars"), docs, rule), "links")
     part = connected_components(links)
 
     # what is left: pairs of different components, in blocks that hold several
     held = rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
     mixed = held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
-    rest = materialize(held.join(mixed, "shingle"), "rest")
+    rest = cut(held.join(mixed, "shingle"), "rest")
     release(rows)
     x, y = rest.alias("x"), rest.alias("y")
     more = x.join(y, F.expr(f"x.shingle = y.shingle AND x.rep < y.rep AND x.part <> y.part AND {_filters(rule, 'x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    found = materialize(verified(materialize(_survivors(more, classes, rule), "pairs"), docs, rule), "links")
+    found = cut(verified(cut(_survivors(more, classes, rule), "pairs"), docs, rule), "links")
+    release(rest)
     whole = connected_components(links.union(found))
 
     # a node is a class's first okey; a node of its own where there is no shingle
@@ -243,7 +244,7 @@ def first_of_groups(docs: DataFrame, rule: Rule = Rule(5, 80, 100)) -> DataFrame
     """docs without the near duplicates of an earlier document: of each component the row with
     the smallest doc_id stays (all rows of that doc_id)."""
     parts = components(keyed(docs), rule).filter("okey <> component").select(F.col("okey").alias("_okey")).distinct()
-    parts = materialize(parts, "duplicates")
+    parts = keep(parts)
     key = docs.withColumn("_okey", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)))
     return key.join(F.broadcast(parts) if parts.count() <= SMALL else parts, "_okey", "left_anti").drop("_okey")
 
