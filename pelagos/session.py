@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -39,16 +40,23 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Shuffle files of the actions inside go when these end: nothing reads them later."""
+    before = spark.conf.get(_CLEAN_UP, "false")
+    spark.conf.set(_CLEAN_UP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEAN_UP, before)
+
+
 def materialize(df: DataFrame, tag: str) -> DataFrame:
     """Write df once as Parquet in the shared folder and read it back: cuts the lineage,
     survives lost executors and computes df a single time."""
     spark, path = df.sparkSession, f"{shared_dir(df.sparkSession)}/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEAN_UP, "false")
-    spark.conf.set(_CLEAN_UP, "true")  # nothing reads this write's shuffle files later
-    try:
+    with _shuffles_dropped(spark):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(_CLEAN_UP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out._pelagos_path = path
     return out
@@ -58,7 +66,8 @@ def keep(df: DataFrame) -> DataFrame:
     """df computed once and held in executors' memory and disks. What a lost executor held is
     computed again from its lineage; materialize() is for long lineages and for large tables."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    df.count()
+    with _shuffles_dropped(df.sparkSession):
+        df.count()
     return df
 
 
