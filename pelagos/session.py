@@ -95,7 +95,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def long_rows(df: DataFrame, rows: int = 2000) -> DataFrame:
+def long_rows(df: DataFrame, rows: int = 1000) -> DataFrame:
     """df, whose rows hold whole texts: batches for Python workers get fewer rows than the default
     of 10 000, which bounds what a task keeps in the JVM's buffers and in its worker."""
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
