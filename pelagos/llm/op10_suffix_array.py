@@ -112,7 +112,7 @@ def segments(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
             h = np.where(copy, bh.mix(okey.view(np.uint64) + place.view(np.uint64)), h)
             yield pa.RecordBatch.from_arrays([pa.array(copy), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(okey), pa.array(place)], names=["copy", "h", "sh", "okey", "place"])
 
-    return docs.mapInArrow(task, "copy boolean, h long, sh long, okey long, place long")
+    return docs.mapInArrow(bh.lean(task), "copy boolean, h long, sh long, okey long, place long")
 
 
 def sifted(batches):
@@ -299,7 +299,7 @@ def compressed(docs: DataFrame) -> DataFrame:
                 b = whole.slice(at, 2000)
                 yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press(_raw(t.as_py())) for t in b.column(1)], pa.binary())], names=["okey", "z"])
 
-    return docs.mapInArrow(task, "okey long, z binary")
+    return docs.mapInArrow(bh.lean(task), "okey long, z binary")
 
 
 def cut_out(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
@@ -323,13 +323,13 @@ def cut_out(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in (group, okey, place)], pa.array(data, pa.binary())], names=["group", "okey", "place", "bytes"])
 
     per_doc = places.groupBy("okey").agg(F.collect_set(F.struct("group", "place")).alias("places"))
-    return compressed(docs).join(per_doc, "okey").select("okey", "z", "places").mapInArrow(task, "group long, okey long, place long, bytes binary")
+    return compressed(docs).join(per_doc, "okey").select("okey", "z", "places").mapInArrow(bh.lean(task), "group long, okey long, place long, bytes binary")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
     """okey, spans(tx, a, b): what (in bytes) of docs(okey, text) repeats earlier strings of `length`."""
     sorted_ = segments(docs, length, gram).repartition("h").sortWithinPartitions("copy", "h", "sh", "okey", "place")
-    sift = materialize(sorted_.mapInArrow(sifted, "copy boolean, h long, okey long, place long"), "segments")
+    sift = materialize(sorted_.mapInArrow(bh.lean(sifted), "copy boolean, h long, okey long, place long"), "segments")
     start = F.shiftright("place", AT).bitwiseAND(0x7FFFFFFF)
     tx = F.shiftright("place", TX).alias("tx")
     copies = sift.filter("copy").select("okey", tx, start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b"))
@@ -358,7 +358,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
                     yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), pa.array(cols[2]), pa.array(cols[3])], names=["w1", "w2", "okey", "place"])
 
     many = reps.join(crowded, "h", "left_semi").select("okey", "place", F.lit(0).cast("long").alias("group"))
-    many = keep(cut_out(docs, many, length).mapInArrow(explode, "w1 long, w2 long, okey long, place long"))
+    many = keep(cut_out(docs, many, length).mapInArrow(bh.lean(explode), "w1 long, w2 long, okey long, place long"))
     earliest = keep(many.groupBy("w1", "w2").agg(F.min(F.struct("okey", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
     is_first = (F.col("okey") == F.col("first.okey")) & (F.col("place") == F.col("first.place"))
     windows = many.join(earliest, ["w1", "w2"]).filter(~is_first).select("okey", tx, start.alias("a"), (start + length).alias("b"))
@@ -399,7 +399,7 @@ def digest(docs: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return compressed(docs).join(spans, "okey", "left").select("okey", "z", "spans").mapInArrow(task, SCHEMA)
+    return compressed(docs).join(spans, "okey", "left").select("okey", "z", "spans").mapInArrow(bh.lean(task), SCHEMA)
 
 
 def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -425,7 +425,7 @@ def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 arrays = [pa.array(texts, pa.string()) if c == "text" else pa.array([None if t is None else len(t) for t in texts], b.schema.field(c).type) if c == "n_chars" else b.column(c) for c in cols]
                 yield pa.RecordBatch.from_arrays(arrays, names=cols).take(pa.array(keep, pa.int64()))
 
-    return joined.mapInArrow(task, docs.schema)
+    return joined.mapInArrow(bh.lean(task), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -27,6 +27,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
+from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, table
 
 NAME = "op1_karmarkar_karp"
@@ -142,7 +143,7 @@ def pack_documents(docs: DataFrame, path: str | None = None, window: int = WINDO
     def task(batches):
         yield from packed(batches, TaskContext.get().partitionId() << 36, path, window, piece, group)
 
-    return long_rows(docs).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(task, SCHEMA)
+    return long_rows(docs).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(bh.lean(task), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -200,7 +200,7 @@ def ranges(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
             np.minimum.at(m, inv, key)
             yield pa.RecordBatch.from_arrays([pa.array(p.astype(np.int32)), pa.array(m)], names=["part", "okey"])
 
-    firsts = sorted((r.part, r.okey) for r in docs.select("okey").mapInArrow(least, "part int, okey long").groupBy("part").agg(F.min("okey").alias("okey")).collect())
+    firsts = sorted((r.part, r.okey) for r in docs.select("okey").mapInArrow(bh.lean(least), "part int, okey long").groupBy("part").agg(F.min("okey").alias("okey")).collect())
     return bounds, {key: firsts[i - 1][0] for i, (_, key) in enumerate(firsts)}
 
 
@@ -225,7 +225,7 @@ def ordered(docs: DataFrame) -> DataFrame:
                     pa.array(np.arange(len(rows)) >= len(okey)), b.column(0).take(pa.array(rows)), b.column(1).take(pa.array(rows)), pa.array([z[i] for i in rows], pa.binary())],
                     names=["part", "guest", "okey", "doc_id", "z"])
 
-    dealt = docs.mapInArrow(deal, "part int, guest boolean, okey long, doc_id long, z binary")
+    dealt = docs.mapInArrow(bh.lean(deal), "part int, guest boolean, okey long, doc_id long, z binary")
     return dealt.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "guest", "okey", "z")
 
 
@@ -262,7 +262,7 @@ def streamed(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator
 
 
 def fingerprint(docs: DataFrame) -> DataFrame:
-    return ordered(docs).mapInArrow(streamed, SCHEMA)
+    return ordered(docs).mapInArrow(bh.lean(streamed), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, materialize, table
 
 NAME = "op3_union_free_wrappers"
@@ -340,7 +341,7 @@ def extracted(pages: DataFrame) -> DataFrame:
                 texts = [extract(h, _loaded(w)) for h, w in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
                 yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["page_id", "url", "text", "n_chars"])
 
-    return joined.mapInArrow(task, SCHEMA)
+    return joined.mapInArrow(bh.lean(task), SCHEMA)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, table
 
 NAME = "op4_progressive_jpeg"
@@ -383,7 +384,7 @@ def store(docs: DataFrame) -> DataFrame:
                     yield doc, n, encode(n, data)
         yield from _batches(rows(), schema)
 
-    return long_rows(docs).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(task, MEDIA)
+    return long_rows(docs).selectExpr("cast(doc_id as long) doc_id", "text").mapInArrow(bh.lean(task), MEDIA)
 
 
 def tensors(media: DataFrame) -> DataFrame:
@@ -398,7 +399,7 @@ def tensors(media: DataFrame) -> DataFrame:
                     yield doc, t.shape[0], t.shape[1], t.tobytes()
         yield from _batches(rows(), schema, 32)
 
-    return media.select("doc_id", "media").mapInArrow(task, "doc_id long, height int, width int, rgb binary")
+    return media.select("doc_id", "media").mapInArrow(bh.lean(task), "doc_id long, height int, width int, rgb binary")
 
 
 def read_back(media: DataFrame) -> DataFrame:
@@ -415,7 +416,7 @@ def read_back(media: DataFrame) -> DataFrame:
                     yield (doc, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-PAD:]), len(data), hashlib.sha256(data).hexdigest(), feature(rgb(got)))
         yield from _batches(rows(), schema, 2000)
 
-    return media.mapInArrow(task, READ)
+    return media.mapInArrow(bh.lean(task), READ)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

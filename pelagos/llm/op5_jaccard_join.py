@@ -103,7 +103,7 @@ def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         n = np.bincount(inv, np.concatenate([np.ones(len(lone)), counts]), len(h)).astype(np.int64)
         return pa.table({"h": h[n >= RARE].view(np.int64), "n": n[n >= RARE]})
 
-    counted = keep(docs.select("text").mapInArrow(count, "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"))
+    counted = keep(docs.select("text").mapInArrow(bh.lean(count), "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"))
     sizes = sorted((r.k, r.m) for r in counted.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count(F.lit(1)).alias("m")).collect())
     least = RARE
     while sum(m for k, m in sizes if 1 << k >= least) > TABLE:
@@ -143,7 +143,7 @@ def signatures(docs: DataFrame, rule: Rule, known: tuple[np.ndarray, np.ndarray]
                 prefix = pa.ListArray.from_arrays(pa.array(offsets), pa.array(h[order][pick].view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), *[pa.array(s.view(np.int64)) for s in sig], *[pa.array(x) for x in hist], prefix], names=["okey", "n", "s1", "s2", "h1", "h2", "prefix"])
 
-    return docs.mapInArrow(task, "okey long, n long, s1 long, s2 long, h1 long, h2 long, prefix array<long>")
+    return docs.mapInArrow(bh.lean(task), "okey long, n long, s1 long, s2 long, h1 long, h2 long, prefix array<long>")
 
 
 def _far(x: str, y: str) -> str:
@@ -199,7 +199,7 @@ def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
                 ends = np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32)
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["okey", "set"])
 
-    sets = keep(wanted.mapInArrow(task, "okey long, set array<long>"))
+    sets = keep(wanted.mapInArrow(bh.lean(task), "okey long, set array<long>"))
     both = pairs.join(sets.select(F.col("okey").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("okey").alias("b"), F.col("set").alias("sb")), "b")
     both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
     return both.filter(f"{rule.den} * i >= {rule.num} * (size(sa) + size(sb) - i)").select("a", "b").distinct()

@@ -212,7 +212,7 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
                 names = [n for n in part.schema.names if n != "_text"]
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
-    return src.mapInArrow(task, schema)
+    return src.mapInArrow(bh.lean(task), schema)
 
 
 def kept_languages(docs: DataFrame, model: Model | None, least: float = NEAREST) -> DataFrame:
@@ -226,7 +226,7 @@ def kept_languages(docs: DataFrame, model: Model | None, least: float = NEAREST)
                 langs, scores = predict(held.value, part.column("text").to_pylist())
                 yield part.filter(pa.array([x != "und" and y >= least for x, y in zip(langs, scores)], pa.bool_()))
 
-    return long_rows(docs).mapInArrow(task, docs.schema)
+    return long_rows(docs).mapInArrow(bh.lean(task), docs.schema)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,4 +23,8 @@ def words():
     import random
     rng = random.Random(5)
     stock = ["".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 9))) for _ in range(4000)]
-    return lambda n, seed: " ".join(random.Random(seed).choice(stock) for _ in range(n))
+
+    def make(n, seed):
+        r = random.Random(seed)
+        return " ".join(r.choice(stock) for _ in range(n))
+    return make

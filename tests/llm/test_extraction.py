@@ -24,7 +24,7 @@ def test_furniture_goes(spark):
 
 
 def test_template_without_article(spark):
-    rows = [(i, "http://b.example/", f"<html><body><div><p>Welcome to our site</p></div><div><p>Story {i} is long</p><p>It ends {i}</p></div></body></html>") for i in range(5)]
+    rows = [(i, "http://b.example/", f"<html><body><h2>Welcome to our site</h2><div><p>Story {i} is long</p><p>It ends {i}</p></div></body></html>") for i in range(5)]
     assert run(spark, rows)[3] == "Story 3 is long\n\nIt ends 3"
 
 
