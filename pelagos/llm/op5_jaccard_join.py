@@ -103,7 +103,7 @@ def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
         n = np.bincount(inv, np.concatenate([np.ones(len(lone)), counts]), len(h)).astype(np.int64)
         return pa.table({"h": h[n >= RARE].view(np.int64), "n": n[n >= RARE]})
 
-    counted = keep(docs.select("text").mapInArrow(bh.lean(count), "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"))
+    counted = materialize(docs.select("text").mapInArrow(bh.lean(count), "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"), "counts")
     sizes = sorted((r.k, r.m) for r in counted.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count(F.lit(1)).alias("m")).collect())
     least = RARE
     while sum(m for k, m in sizes if 1 << k >= least) > TABLE:
@@ -212,7 +212,7 @@ def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     classes = keep(filled.groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")))
     rows = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "shingle"))
     shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle")
-    rows = keep(rows.join(shared, "shingle"))
+    rows = materialize(rows.join(shared, "shingle"), "blocks")
 
     # stars first
     grade = F.floor(F.log(F.col("n")) / float(np.log(rule.den / rule.num))).cast("int")
