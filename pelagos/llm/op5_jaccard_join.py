@@ -34,7 +34,7 @@ from pelagos.operators.graph import connected_components
 from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op5_prefix_filter"
-RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 8
+RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 4
 NULL = -(1 << 63)
 
 
