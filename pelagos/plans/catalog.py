@@ -8,7 +8,7 @@ from importlib import import_module
 
 _QUERIES: dict[str, Callable] = {}
 _SQL: dict[str, str] = {}
-MODULES = ("correlation", "filtering", "joining", "aggregation", "projection", "imagery", "transfer")
+MODULES = ("correlation", "filtering", "joining", "aggregation", "projection", "imagery", "transfer", "whole")
 
 
 def query(name: str, sql: str | None = None):

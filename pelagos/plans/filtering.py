@@ -104,8 +104,8 @@ def containment(spark, d):
 
 
 @query("f25_score_gate", cte("duck", "boxes") + "SELECT id FROM boxes WHERE score >= CASE id % 2 WHEN 0 THEN 0.4e0 ELSE 0.7e0 END")
-def gate(spark, d):
-    return view(spark, d, "boxes").filter(F.col("score") >= F.when(F.col("id") % 2 == 0, 0.4).otherwise(0.7)).select("id")
+def gate(spark, d, boxes="boxes"):
+    return view(spark, d, boxes).filter(F.col("score") >= F.when(F.col("id") % 2 == 0, 0.4).otherwise(0.7)).select("id")
 
 
 @query("f26_validation_report", D + """SELECT 'error' AS level, 'lat_range' AS rule, count(CASE WHEN lat NOT BETWEEN -90 AND 90 OR lat IS NULL THEN 1 END) AS violations FROM det

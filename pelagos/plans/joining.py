@@ -132,14 +132,14 @@ def optimal(spark, d):
 
 @query("j23_a24_point_matching")
 def points(spark, d):
-    b = view(spark, d, "boxes")
+    b = view(spark, d, "boxes_all")
     c = assign.match_points(b.filter("is_gt = 1"), b.filter("is_gt = 0"))
     return c
 
 
 @query("a24_scene_metrics")
 def metrics(spark, d):
-    b = view(spark, d, "boxes")
+    b = view(spark, d, "boxes_all")
     t = assign.match_points(b.filter("is_gt = 1"), b.filter("is_gt = 0")).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
     ok, tp = F.col("tp") > 0, F.col("tp").cast("double")
     p, r = tp / (F.col("tp") + F.col("fp")), tp / (F.col("tp") + F.col("fn"))
@@ -148,7 +148,7 @@ def metrics(spark, d):
 
 @query("j24_box_matching")
 def boxes(spark, d):
-    b = view(spark, d, "boxes").selectExpr("id", "scene_id", "is_gt", "x - 12 AS x1", "y - 12 AS y1", "x + 12 AS x2", "y + 12 AS y2")
+    b = view(spark, d, "boxes_all").selectExpr("id", "scene_id", "is_gt", "x - 12 AS x1", "y - 12 AS y1", "x + 12 AS x2", "y + 12 AS y2")
     return assign.match_boxes(b.filter("is_gt = 1"), b.filter("is_gt = 0"))
 
 

@@ -115,8 +115,8 @@ def bucket(spark, d):
 
 
 @query("p08_softmax", BX + ", e AS (SELECT id, exp(score) AS a, exp(x / 400e0) AS b FROM boxes) SELECT id, round(a / (a + b), 6) AS p0, round(b / (a + b), 6) AS p1 FROM e")
-def softmax(spark, d):
-    v = view(spark, d, "boxes").select("id", scoring.softmax(F.array(F.col("score"), F.col("x") / 400.0)).alias("p"))
+def softmax(spark, d, boxes="boxes"):
+    v = view(spark, d, boxes).select("id", scoring.softmax(F.array(F.col("score"), F.col("x") / 400.0)).alias("p"))
     return v.select("id", F.round(F.col("p")[0], 6).alias("p0"), F.round(F.col("p")[1], 6).alias("p1"))
 
 

@@ -1,0 +1,28 @@
+"""Queries over all events whose namesakes take a subset that their SQL shares. They have no SQL
+and are tested against brute force on small fixtures."""
+
+from __future__ import annotations
+
+from pelagos.operators import dedupe
+from pelagos.plans import aggregation, filtering, projection
+from pelagos.plans.adapters import view
+from pelagos.plans.catalog import query
+
+
+@query("j18_distance_nms_whole")
+def nms(spark, d):
+    r = view(spark, d, "boxes_all").filter("is_gt = 0").select("id", "scene_id", "x", "y", "score")
+    return dedupe.distance_nms(r, 15.0, group="scene_id").select("id")
+
+
+def _boxes(name, fn):
+    query(name + "_whole")(lambda spark, d: fn(spark, d, "boxes_all"))
+
+
+_boxes("a20_p24_threshold_sweep", aggregation.sweep)
+_boxes("a22_a25_errors", aggregation.errors)
+_boxes("a23_best_threshold", aggregation.best)
+_boxes("a27_p25_percent_error", aggregation.percent)
+_boxes("a32_sampling_weights", aggregation.weights)
+_boxes("f25_score_gate", filtering.gate)
+_boxes("p08_softmax", projection.softmax)
