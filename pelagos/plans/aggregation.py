@@ -134,8 +134,8 @@ def weighted(spark, d):
 
 
 @query("a30_a31_mask_statistics", cte("duck", "cells") + "SELECT quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.01) AS p1, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.25) AS p25, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.99) AS p99, round(100e0 * avg(CASE WHEN vv = 0 THEN 1e0 ELSE 0e0 END), 6) AS zero_pct, round(100e0 * avg(CAST(water AS DOUBLE)), 6) AS water_pct FROM cells")
-def mask_stats(spark, d):
-    return N.mask_statistics(view(spark, d, "cells"))
+def mask_stats(spark, d, cells="cells"):
+    return N.mask_statistics(view(spark, d, cells))
 
 
 @query("a32_sampling_weights", BX + ", c AS (SELECT sum(is_gt) AS fg, count(*) - sum(is_gt) AS bg FROM boxes) SELECT id, CASE WHEN is_gt = 1 THEN 1e0 ELSE round(0.25e0 * fg / bg, 9) END AS weight FROM boxes, c")

@@ -81,32 +81,32 @@ def layout(spark, d):
 
 
 @query("f17_window_coverage", C + ", w AS (" + _grid(64, 64, 16, 12) + ") SELECT w.row, w.col, round(sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0, 6) AS water_share FROM w LEFT JOIN cells ON cy >= row AND cy < row + 16 AND cx >= col AND cx < col + 16 GROUP BY w.row, w.col HAVING sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0 >= 0.6e0")
-def cover(spark, d):
-    w = raster.coverage(V.sliding(spark, 64, 64, 16, 12), view(spark, d, "cells"), 16)
+def cover(spark, d, cells="cells", height=64):
+    w = raster.coverage(V.sliding(spark, height, 64, 16, 12), view(spark, d, cells), 16)
     return w.filter("water_share >= 0.6").select("row", "col", F.round("water_share", 6).alias("water_share"))
 
 
 @query("f15_j17_land_proximity", C + ", p AS (SELECT detect_id AS id, preprocess_column % 64 AS px, preprocess_row % 64 AS py FROM (" + B + "SELECT * FROM detbox) b) SELECT id FROM p JOIN cells ON cx >= px - 5 AND cx < px + 5 AND cy >= py - 5 AND cy < py + 5 GROUP BY id HAVING avg(water) >= 0.6e0 AND max(CASE WHEN cx = px AND cy = py THEN water END) = 1")
-def land(spark, d):
-    p = view(spark, d, "detbox").select(F.col("detect_id").alias("id"), (F.col("preprocess_column") % 64).alias("cx"), (F.col("preprocess_row") % 64).alias("cy"))
-    return raster.near_land(p, view(spark, d, "cells"), 5, 0.6)
+def land(spark, d, cells="cells", height=64):
+    p = view(spark, d, "detbox").select(F.col("detect_id").alias("id"), (F.col("preprocess_column") % 64).alias("cx"), (F.col("preprocess_row") % height).alias("cy"))
+    return raster.near_land(p, view(spark, d, cells), 5, 0.6)
 
 
 @query("r01_water_mask", C + ", s AS (SELECT avg(CASE WHEN vv = 0 THEN 1e0 ELSE 0e0 END) AS z, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.25) AS qv, quantile_cont(CASE WHEN vh > 0 THEN vh END, 0.25) AS qh FROM cells) SELECT cx, cy, CASE WHEN z > 0.3e0 THEN vv = 0 ELSE vv < qv AND vh < qh END AS is_water FROM cells, s")
-def mask(spark, d):
-    return raster.water_mask(view(spark, d, "cells")).select("cx", "cy", "is_water")
+def mask(spark, d, cells="cells"):
+    return raster.water_mask(view(spark, d, cells)).select("cx", "cy", "is_water")
 
 
 @query("r03_r04_r14_channels", C + "SELECT cx, cy, CASE WHEN water = 1 THEN vv ELSE 0e0 END AS vv, CAST(floor(least(greatest(vv / 200e0, 0e0), 1e0) * 255) AS BIGINT) AS byte_vv, round(sqrt(vv * vh + 1e-6), 6) AS mean_amp, round(least(vv / (vh + 1e-6) * 50, 255e0), 6) AS ratio FROM cells")
-def channels(spark, d):
-    c = view(spark, d, "cells")
+def channels(spark, d, cells="cells"):
+    c = view(spark, d, cells)
     k = raster.derived_channels(c).select("cx", "cy", raster.to_byte("vv", 0.0, 200.0).alias("byte_vv"), F.round("mean_amp", 6).alias("mean_amp"), F.round("ratio", 6).alias("ratio"))
     return raster.masked(c).select("cx", "cy", "vv").join(k, ["cx", "cy"])
 
 
 @query("r06_alignment_offset")
 def alignment(spark, d):
-    c = view(spark, d, "cells")
+    c = view(spark, d, "cells_all")
     return raster.best_offset(c.select("cx", "cy", F.col("vv").alias("v")), c.select((F.col("cx") + 2).alias("cx"), (F.col("cy") - 1).alias("cy"), F.col("vv").alias("v")))
 
 
@@ -129,14 +129,14 @@ _AT = lambda dx, dy: f"coalesce((SELECT n.vv FROM cells n WHERE n.cx = c.cx + {d
 
 
 @query("r04_sobel_kernel", C + f"SELECT cx, cy, round(-1 * {_AT(-1, -1)} + {_AT(1, -1)} - 2 * {_AT(-1, 0)} + 2 * {_AT(1, 0)} - {_AT(-1, 1)} + {_AT(1, 1)}, 6) + 0e0 AS value FROM cells c")
-def sobel(spark, d):
-    return raster.convolve(view(spark, d, "cells"), "vv", "sobel_x").select("cx", "cy", (F.round("value", 6) + 0.0).alias("value"))
+def sobel(spark, d, cells="cells"):
+    return raster.convolve(view(spark, d, cells), "vv", "sobel_x").select("cx", "cy", (F.round("value", 6) + 0.0).alias("value"))
 
 
 @query("a34_window_statistics", C + ", w AS (" + _grid(64, 64, 8, 8) + "), s AS (SELECT w.row, w.col, sum(CASE WHEN vv > 240 THEN 1 ELSE 0 END) AS n FROM w LEFT JOIN cells ON cy >= row AND cy < row + 8 AND cx >= col AND cx < col + 8 GROUP BY w.row, w.col) SELECT count(*) AS total, count(CASE WHEN n = 0 THEN 1 END) AS skipped, round(100e0 * count(CASE WHEN n = 0 THEN 1 END) / count(*), 6) AS skipped_pct FROM s")
-def window_stats(spark, d):
-    cells = view(spark, d, "cells").withColumn("water", F.when(F.col("vv") > 240, 1).otherwise(0))
-    w = raster.coverage(V.sliding(spark, 64, 64, 8, 8), cells, 8)
+def window_stats(spark, d, cells="cells", height=64):
+    cells = view(spark, d, cells).withColumn("water", F.when(F.col("vv") > 240, 1).otherwise(0))
+    w = raster.coverage(V.sliding(spark, height, 64, 8, 8), cells, 8)
     none = F.count_if(F.col("water_share") == 0)
     return w.agg(F.count(F.lit(1)).alias("total"), none.alias("skipped"), F.round(100.0 * none / F.count(F.lit(1)), 6).alias("skipped_pct"))
 

@@ -3,8 +3,10 @@ and are tested against brute force on small fixtures."""
 
 from __future__ import annotations
 
-from pelagos.operators import dedupe
-from pelagos.plans import aggregation, filtering, projection
+from pyspark.sql import functions as F
+
+from pelagos.operators import cluster, dedupe
+from pelagos.plans import aggregation, filtering, imagery, projection
 from pelagos.plans.adapters import view
 from pelagos.plans.catalog import query
 
@@ -26,3 +28,27 @@ _boxes("a27_p25_percent_error", aggregation.percent)
 _boxes("a32_sampling_weights", aggregation.weights)
 _boxes("f25_score_gate", filtering.gate)
 _boxes("p08_softmax", projection.softmax)
+
+
+@query("r02_water_regions_whole")
+def water(spark, d):
+    r = cluster.regions(view(spark, d, "cells_all").filter("water = 1").select("cx", "cy"), 64)
+    return cluster.region_stats(r).select("component", "area", "x0", "x1", "y0", "y1")
+
+
+def _cells(name, fn, tall=False):
+    def whole(spark, d):
+        if not tall:
+            return fn(spark, d, "cells_all")
+        rows = view(spark, d, "cells_all").agg(F.coalesce(F.max("cy") + 1, F.lit(0))).first()[0]
+        return fn(spark, d, "cells_all", max(rows, 64))  # an image has 64 rows at least
+    query(name + "_whole")(whole)
+
+
+_cells("a30_a31_mask_statistics", aggregation.mask_stats)
+_cells("a34_window_statistics", imagery.window_stats, tall=True)
+_cells("f15_j17_land_proximity", imagery.land, tall=True)
+_cells("f17_window_coverage", imagery.cover, tall=True)
+_cells("r01_water_mask", imagery.mask)
+_cells("r03_r04_r14_channels", imagery.channels)
+_cells("r04_sobel_kernel", imagery.sobel)

@@ -57,3 +57,46 @@ def test_metrics_of_every_box(run):
     assert abs(run("a27_p25_percent_error_whole")[0].normalised - sum(abs(b[3] - b[4]) / b[3] for b in some) / len(some)) < 1e-6
     assert len(run("a32_sampling_weights_whole")) == len(run("p08_softmax_whole")) == 5000
     assert {r.id for r in run("f25_score_gate_whole")} == {b[0] for b in BOXES if b[5] >= (0.7 if b[2] else 0.4)}
+
+
+CELLS = {(i % 64, i // 64): (int(i * 7919 % 100 < 62), i * 31 % 251, i * 17 % 241) for i in range(5000)}
+
+
+def test_regions_of_every_cell(run):
+    wet, want = {c for c, v in CELLS.items() if v[0]}, set()
+    while wet:
+        found, ahead = set(), [wet.pop()]
+        while ahead:
+            x, y = ahead.pop()
+            found.add((x, y))
+            near = {(x + i, y + j) for i in (-1, 0, 1) for j in (-1, 0, 1)} & wet
+            wet -= near
+            ahead += near
+        xs, ys = [c[0] for c in found], [c[1] for c in found]
+        want.add((min(y * 64 + x for x, y in found), len(found), min(xs), max(xs), min(ys), max(ys)))
+    assert {tuple(r) for r in run("r02_water_regions_whole")} == want
+
+
+def test_rasters_of_every_cell(run):
+    assert len(run("r01_water_mask_whole")) == len(run("r03_r04_r14_channels_whole")) == 5000
+    at = lambda x, y: CELLS.get((x, y), (0, 0, 0))[1]
+    got = {(r.cx, r.cy): r.value for r in run("r04_sobel_kernel_whole")}
+    assert got == {(x, y): sum(w * (at(x + 1, y + j) - at(x - 1, y + j)) for j, w in ((-1, 1), (0, 2), (1, 1))) for x, y in CELLS}
+    assert abs(run("a30_a31_mask_statistics_whole")[0].water_pct - sum(v[0] for v in CELLS.values()) / 50) < 1e-6
+    windows = {(r, c): [CELLS.get((x, y), (0, 0, 0)) for x in range(c, c + 16) for y in range(r, r + 16)] for r in range(0, 64, 12) for c in range(0, 49, 12) if r <= 79 - 16}
+    share = {k: sum(v[0] for v in w) / 256 for k, w in windows.items()}
+    assert {(r.row, r.col): r.water_share for r in run("f17_window_coverage_whole")} == {k: round(v, 6) for k, v in share.items() if v >= 0.6}
+    blocks = [[at(x, y) for x in range(c, c + 8) for y in range(r, r + 8)] for r in range(0, 79 - 7, 8) for c in range(0, 64, 8)]
+    r = run("a34_window_statistics_whole")[0]
+    assert (r.total, r.skipped) == (len(blocks), sum(all(v <= 240 for v in b) for b in blocks))
+
+
+def test_offset_of_every_cell(run):
+    mean = {}
+    for dy in (-2, 1):
+        for dx in (-2, 1):
+            pairs = [v[1] * CELLS[(x - dx - 2, y - dy + 1)][1] for (x, y), v in CELLS.items() if (x - dx - 2, y - dy + 1) in CELLS]
+            mean[dy, dx] = sum(pairs) / len(pairs)
+    r = run("r06_alignment_offset")[0]
+    best = min(mean, key=lambda k: (-mean[k], k))
+    assert (r.dy, r.dx) == best and abs(r.mean - mean[best]) < 1e-6
