@@ -5,8 +5,8 @@ an expression over labels (tag, classes, id, role): adjacent equal items fold in
 repetition, repeated runs of up to four labels into a repeated group. The expressions of a
 host's pages are aligned one after the other: items that match are merged, mismatches become
 optional, texts that differ become slots, equal texts stay part of the template. A wrapper
-marks which items are page furniture: by their label, and, where the host has no article
-element, template texts that never change.
+marks which items are page furniture: by their label, and template texts that never change,
+inside an article too; a repetition of an article (its paragraphs) is content as a whole.
 
 A page is read along its host's wrapper; what the wrapper hasn't seen is judged by label.
 Wrappers are inferred from at most SAMPLE different pages of a host, the first by a hash;
@@ -226,39 +226,44 @@ def show(items: list) -> str:
 
 
 def infer(pages: list[str]) -> dict:
-    """The wrapper of pages of one host: {label: [dropped, children, dropped texts]} nested, and
-    whether the host has an article element."""
+    """The wrapper of different pages of one host, see marks()."""
     whole: list | None = None
     for p in pages:
         e = expression(p)
         whole = e if whole is None else align(whole, e)
+    return marks(whole or [], len(pages))
 
-    def has(items):
-        return any((region(i[0]) and not furniture(i[0])) or (not furniture(i[0]) and has(i[3])) for i in items)
 
-    article = has(whole or [])
-    steady = not article and len(pages) > 2
-
-    def marked(items):
+def marks(whole: list, pages: int) -> dict:
+    """An aligned expression of so many pages as {label: content of the same form, or None if it is
+    dropped; '#': fixed texts that are dropped}. Texts of every page that never change are fixed,
+    inside an article too; there a repetition (paragraphs, list items) is content as a whole."""
+    def marked(items, optional, main, many):
         out: dict = {}
         for i in items:
+            may = optional or i[1]
             if i[0] == "&":
-                for k, v in marked(i[3]).items():
-                    out.setdefault(k, v)
+                _join(out, marked(i[3], may, main, True))
             elif i[0] == "#":
-                if steady and i[4] and not i[1]:
-                    out.setdefault("#", []).append(i[4])
+                if pages > 2 and i[4] and not may and not (main and many):
+                    _join(out, {"#": [i[4]]})
             elif furniture(i[0]):
-                out.setdefault(i[0], None)
+                out[i[0]] = None
             else:
-                kids = marked(i[3])
-                if i[0] in out and out[i[0]]:
-                    out[i[0]].update({k: v for k, v in kids.items() if k not in out[i[0]]})
-                else:
-                    out[i[0]] = kids
+                _join(out, {i[0]: marked(i[3], may, main or region(i[0]), many or i[2])})
         return out
 
-    return {"article": article, "items": marked(whole or [])}
+    return marked(whole, False, False, False)
+
+
+def _join(out: dict, more: dict) -> None:
+    for k, v in more.items():
+        if k not in out:
+            out[k] = v
+        elif k == "#":
+            out[k] = sorted({*out[k], *v})
+        elif v:
+            _join(out[k], v)
 
 
 # ---- extraction
@@ -269,7 +274,7 @@ def extract(page: str, wrapper: dict) -> str:
     inside: list[str] = []  # of an article or main element
     outside: list[str] = []
     buf: list[str] = []
-    stack: list[tuple] = [(False, wrapper["items"], False)]  # dropped, wrapper below, in a region
+    stack: list[tuple] = [(False, wrapper, False)]  # dropped, wrapper below, in a region
     seen = False
 
     def flush():

@@ -28,6 +28,14 @@ def test_template_without_article(spark):
     assert run(spark, rows)[3] == "Story 3 is long\n\nIt ends 3"
 
 
+def test_template_inside_an_article(spark):
+    extra = ["", "", "<blockquote>Only here</blockquote>", ""]
+    rows = [(i, "http://d.example/", page(f"<article><h1>Head {i}</h1><div>Read our magazine</div><p>Story {i}</p><p>Goes on</p>{extra[i]}</article>")) for i in range(4)]
+    got = run(spark, rows)
+    for i in range(4):
+        assert got[i] == "\n\n".join([f"Head {i}", f"Story {i}", "Goes on"] + ["Only here"] * (i == 2))
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, "x", ""), (2, "x", ""), (3, "http://c/", "plain & text"), (4, "http://c/", "<p>cut <b>off"), (5, "http://c/", page("<article>" + "<p>w </p>" * 3000)), (6, "http://c/", "<script>never closed <p>x")]
     got = run(spark, rows)
