@@ -5,12 +5,12 @@ an expression over labels (tag, classes, id, role): adjacent equal items fold in
 repetition, repeated runs of up to four labels into a repeated group. The expressions of a
 host's pages are aligned one after the other: items that match are merged, mismatches become
 optional, texts that differ become slots, equal texts stay part of the template. A wrapper
-marks which items are page furniture: by their label, and template texts that never change,
+marks which items are page furniture: by their label, and texts that never change where they stand,
 inside an article too; a repetition of an article (its paragraphs) is content as a whole.
 
 A page is read along its host's wrapper; what the wrapper hasn't seen is judged by label.
-Wrappers are inferred from at most SAMPLE different pages of a host, the first by a hash;
-every page is extracted whole. Wrappers of up to WRAPPERS characters in all are broadcast,
+Wrappers are inferred from all different pages of a host, in PARTS parts that are aligned
+afterwards; every page is extracted whole. Wrappers of up to WRAPPERS characters in all are broadcast,
 more are joined.
 
 Defined results: null html gives an empty text; a null url has the empty host; repeated rows
@@ -24,16 +24,17 @@ import html as entities
 import json
 import re
 from functools import lru_cache
+from hashlib import blake2b
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, materialize, table
 
 NAME = "op3_union_free_wrappers"
-SAMPLE, WRAPPERS, PERIOD = 8, 4_000_000, 4
+PARTS, WRAPPERS, PERIOD = 64, 4_000_000, 4
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 #: HTML element names and the words that mark furniture.
@@ -138,7 +139,7 @@ def nested(page: str):
         yield "/", stack.pop()[1]
 
 
-# ---- inference. An item is [label, optional, many, content, text]; '#' is text, '&' a group.
+# ---- inference. An item is [label, optional, many, content, text, pages]; '#' is text, '&' a group.
 
 
 def expression(page: str) -> list:
@@ -146,14 +147,14 @@ def expression(page: str) -> list:
     stack = [top]
     for kind, x in nested(page):
         if kind == "<":
-            item = [x, False, False, [], None]
+            item = [x, False, False, [], None, 1]
             stack[-1].append(item)
             stack.append(item[3])
         elif kind == "/":
             done = fold(stack.pop())
             stack[-1][-1][3] = done
         elif kind == "t" and (text := " ".join(x.split())):
-            stack[-1].append(["#", False, False, [], text])
+            stack[-1].append(["#", False, False, [], text, 1])
     return fold(top)
 
 
@@ -162,7 +163,7 @@ def _key(item: list):
 
 
 def _merge(a: list, b: list) -> list:
-    return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3]), a[4] if a[4] == b[4] else None]
+    return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3]), a[4] if a[4] == b[4] else None, a[5] + b[5]]
 
 
 def fold(items: list) -> list:
@@ -185,7 +186,7 @@ def fold(items: list) -> list:
                 body = out[at:at + p]
                 for k in range(1, n):
                     body = [_merge(a, b) for a, b in zip(body, out[at + k * p:at + (k + 1) * p])]
-                out[at:at + n * p] = [["&", False, True, body, None]]
+                out[at:at + n * p] = [["&", False, True, body, None, 1]]
             at += 1
     return out
 
@@ -225,35 +226,54 @@ def show(items: list) -> str:
     return " ".join(map(one, items))
 
 
+def digest(text: str) -> str:
+    """Stands for a text in expressions."""
+    return blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).hexdigest()
+
+
+def tree(page: str) -> list:
+    """expression() of one page, with digests for texts."""
+    def once(items):
+        for i in items:
+            i[4], i[5] = i[4] and digest(i[4]), 1  # fold() adds up what repeats in the page
+            once(i[3])
+        return items
+
+    return once(expression(page))
+
+
+def merged(trees: list[list]) -> list:
+    """Aligned in pairs, so that none meets all the others one by one."""
+    while len(trees) > 1:
+        trees = [align(*trees[i:i + 2]) if i + 1 < len(trees) else trees[i] for i in range(0, len(trees), 2)]
+    return trees[0] if trees else []
+
+
 def infer(pages: list[str]) -> dict:
     """The wrapper of different pages of one host, see marks()."""
-    whole: list | None = None
-    for p in pages:
-        e = expression(p)
-        whole = e if whole is None else align(whole, e)
-    return marks(whole or [], len(pages))
+    return marks(merged([tree(p) for p in pages]), len(pages))
 
 
 def marks(whole: list, pages: int) -> dict:
     """An aligned expression of so many pages as {label: content of the same form, or None if it is
-    dropped; '#': fixed texts that are dropped}. Texts of every page that never change are fixed,
-    inside an article too; there a repetition (paragraphs, list items) is content as a whole."""
-    def marked(items, optional, main, many):
+    dropped; '#': digests of fixed texts, which are dropped}. A text is fixed if it never changes
+    where its item stands, on three pages and on half of them at least; inside an article a
+    repetition (paragraphs, list items) is content as a whole."""
+    def marked(items, main, many):
         out: dict = {}
         for i in items:
-            may = optional or i[1]
             if i[0] == "&":
-                _join(out, marked(i[3], may, main, True))
+                _join(out, marked(i[3], main, True))
             elif i[0] == "#":
-                if pages > 2 and i[4] and not may and not (main and many):
+                if i[4] and i[5] >= 3 and 2 * i[5] >= pages and not (main and many):
                     _join(out, {"#": [i[4]]})
             elif furniture(i[0]):
                 out[i[0]] = None
             else:
-                _join(out, {i[0]: marked(i[3], may, main or region(i[0]), many or i[2])})
+                _join(out, {i[0]: marked(i[3], main or region(i[0]), many or i[2])})
         return out
 
-    return marked(whole, False, False, False)
+    return marked(whole, False, False)
 
 
 def _join(out: dict, more: dict) -> None:
@@ -305,7 +325,7 @@ def extract(page: str, wrapper: dict) -> str:
                 buf.append(" ")
         else:
             text = entities.unescape(x)
-            if not (items and "#" in items and " ".join(x.split()) in items["#"]):
+            if not (items and "#" in items and digest(" ".join(x.split())) in items["#"]):
                 buf.append(text)
     flush()
     return "\n\n".join(inside if seen else outside)
@@ -322,15 +342,32 @@ def _hosted(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, wrapper (JSON): at most SAMPLE pages of a host meet in a group."""
-    first = Window.partitionBy("host").orderBy("h")
-    some = pages.select("host", "html", F.xxhash64("html").alias("h")).withColumn("n", F.row_number().over(first)).filter(F.col("n") <= SAMPLE)
+    """host, wrapper (JSON) of all different pages of each host. A page travels as its tree; those
+    of one host and part are aligned first, then the parts, so no task holds a large host."""
+
+    def trees(batches):
+        for b in batches:
+            hosts, keys, found = [], [], []
+            for host, page in sorted(set(zip(b.column(0).to_pylist(), b.column(1).to_pylist()))):
+                hosts.append(host)
+                keys.append(blake2b(page.encode("utf-8", "surrogatepass"), digest_size=16).digest())
+                found.append(json.dumps(tree(page), separators=(",", ":")))
+            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(keys, pa.binary()), pa.array(found, pa.string())], names=["host", "key", "tree"])
+
+    def part(rows: pa.Table) -> pa.Table:
+        different = dict(zip(rows.column("key").to_pylist(), rows.column("tree").to_pylist()))
+        whole = merged([json.loads(different[k]) for k in sorted(different)])
+        return pa.table({"host": [rows.column("host")[0].as_py()], "part": [rows.column("part")[0].as_py()], "n": [len(different)], "tree": [json.dumps(whole, separators=(",", ":"))]})
 
     def of(rows: pa.Table) -> pa.Table:
-        got = sorted(set(rows.column("html").to_pylist()))
-        return pa.table({"host": [rows.column("host")[0].as_py()], "wrapper": [json.dumps(infer(got))]})
-
-    return some.select("host", "html").groupBy("host").applyInArrow(of, "host string, wrapper string")
+        parts = sorted(zip(rows.column("part").to_pylist(), rows.column("tree").to_pylist()))
+        got = marks(merged([json.loads(t) for _, t in parts]), sum(rows.column("n").to_pylist()))
+        return pa.table({"host": [rows.column("host")[0].as_py()], "wrapper": [json.dumps(got)]})
+
+    each = pages.select("host", "html").mapInArrow(bh.lean(trees), "host string, key binary, tree string")
+    some = each.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(PARTS)))
+    few = some.groupBy("host", "part").applyInArrow(part, "host string, part long, n long, tree string")
+    return few.groupBy("host").applyInArrow(of, "host string, wrapper string")
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -36,6 +36,17 @@ def test_template_inside_an_article(spark):
         assert got[i] == "\n\n".join([f"Head {i}", f"Story {i}", "Goes on"] + ["Only here"] * (i == 2))
 
 
+def test_wrapper_of_all_different_pages(spark):
+    body = "<html><body><h2>Welcome to our site</h2><div><p>Story {0} is long</p><p>It ends {0}</p></div></body></html>"
+    some = [body.format(i) for i in range(6)]
+    for copied in some:  # whichever has the lowest hash
+        rows = [(i, "http://e.example/", p) for i, p in enumerate(some + [copied] * 9)]
+        assert run(spark, rows)[3] == "Story 3 is long\n\nIt ends 3"
+    odd = [(i, "http://f.example/", body.format(i).replace("Welcome to our site", "News" if i < 12 else f"News of {i}")) for i in range(40)]
+    got = run(spark, odd)  # shared by some pages only
+    assert all(got[i].startswith("News") for i in range(40))
+
+
 def test_edge_cases(spark):
     rows = [(1, None, None), (2, "x", ""), (2, "x", ""), (3, "http://c/", "plain & text"), (4, "http://c/", "<p>cut <b>off"), (5, "http://c/", page("<article>" + "<p>w </p>" * 3000)), (6, "http://c/", "<script>never closed <p>x")]
     got = run(spark, rows)
