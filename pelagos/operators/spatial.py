@@ -77,3 +77,31 @@ def grid_search(index: DataFrame, query: DataFrame, data: str, side: int) -> Dat
     """Data of all cells that a query rectangle (q, qx1, qy1, qx2, qy2) touches, each once."""
     q = grid_index(query, ("qx1", "qx2"), ("qy1", "qy2"), side)
     return q.join(index, ["gx", "gy"]).select("q", data).distinct()
+
+
+def all_pairs(df: DataFrame, key: str, blocks: int = 16) -> DataFrame:
+    """All pairs _a.key < _b.key (key is unique): rows fall into blocks, and each pair of blocks meets by an equi join."""
+    slots = df.withColumn("_s", F.pmod(F.xxhash64(key), F.lit(blocks)))
+    a = renamed(slots.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_a")
+    b = renamed(slots.withColumn("_t", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))), "_b")
+    return a.join(b, (F.col("_s_a") == F.col("_t_b")) & (F.col("_t_a") == F.col("_s_b")) & (F.col(key + "_a") < F.col(key + "_b")))
+
+
+def median(df: DataFrame, col: str, n: int, lo: float, hi: float, bins: int = 1024, few: int = 100_000) -> float | None:
+    """Exact median of n values in lo .. hi: bins are counted and the one that holds the middle is
+    narrowed until it is small, so values are neither sorted nor gathered as a whole."""
+    if not n:
+        return None
+
+    def at(rank: int) -> float:
+        rows, low, high, size = df.select(col), lo, hi, n
+        while size > few and low < high:
+            bin_ = F.least(F.greatest(F.floor((F.col(col) - low) / ((high - low) / bins)), F.lit(0)), F.lit(bins - 1))
+            for r in sorted(rows.groupBy(bin_.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).collect()):
+                if rank < r.n:
+                    rows, low, high, size = rows.filter(bin_ == r.k), r.lo, r.hi, r.n
+                    break
+                rank -= r.n
+        return low if low == high else sorted(r[0] for r in rows.collect())[rank]
+
+    return (at((n - 1) // 2) + at(n // 2)) / 2 if n % 2 == 0 else at(n // 2)

@@ -5,7 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pelagos.operators import cluster, dedupe
+from pelagos.functions import geo
+from pelagos.operators import cluster, dedupe, spatial
 from pelagos.plans import aggregation, filtering, imagery, projection
 from pelagos.plans.adapters import view
 from pelagos.plans.catalog import query
@@ -52,3 +53,13 @@ _cells("f17_window_coverage", imagery.cover, tall=True)
 _cells("r01_water_mask", imagery.mask)
 _cells("r03_r04_r14_channels", imagery.channels)
 _cells("r04_sobel_kernel", imagery.sobel)
+
+
+@query("j12_a17_pair_distances_whole")
+def pair_distances(spark, d):
+    """All pairs of all detections: aggregates, and the median by selection."""
+    m = spatial.all_pairs(view(spark, d, "det").select("detect_id", "lat", "lon"), "detect_id").select(geo.flat_m("lat_a", "lon_a", "lat_b", "lon_b").alias("m"))
+    s = m.agg(F.count(F.lit(1)).alias("pairs"), F.min("m").alias("lo"), F.avg("m").alias("mean"), F.max("m").alias("hi"), F.count_if(F.col("m") < 100).alias("under_100"), F.count_if(F.col("m") < 500).alias("under_500")).first()
+    median = spatial.median(m, "m", s.pairs, s.lo, s.hi)
+    r = spark.createDataFrame([(s.pairs, s.lo, s.mean, s.hi, median, s.under_100, s.under_500)], "pairs long, min_m double, avg_m double, max_m double, median_m double, under_100 long, under_500 long")
+    return r.select(*[F.round(c, 3).alias(c) if c.endswith("_m") else F.col(c) for c in r.columns])

@@ -11,7 +11,9 @@ from pelagos.plans import catalog
 def run(spark, tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("whole"))
     spark.sql("SELECT id AS event_id, id % 50 AS user_id, timestamp_micros(1705320000000000 - (id % 97) * 60000000) AS ts, cast(id % 500 AS DOUBLE) AS value FROM range(5000)").write.parquet(folder + "/events.parquet")
-    return lambda name: catalog.queries()[name](spark, folder).collect()
+    out = lambda name: catalog.queries()[name](spark, folder).collect()
+    out.folder = folder
+    return out
 
 
 BOXES = [(i, i // 250, i % 2, i * 37 % 400, i * 91 % 400, i * 13 % 100 / 100) for i in range(5000)]
@@ -100,3 +102,27 @@ def test_offset_of_every_cell(run):
     r = run("r06_alignment_offset")[0]
     best = min(mean, key=lambda k: (-mean[k], k))
     assert (r.dy, r.dx) == best and abs(r.mean - mean[best]) < 1e-6
+
+
+@pytest.fixture(scope="module")
+def seen(spark, tmp_path_factory, run):
+    """det and pred72 of the small table, as rows."""
+    from pelagos.plans.adapters import view
+    return lambda name: view(spark, run.folder, name).collect()
+
+
+def test_distances_of_all_pairs(run, seen):
+    p = [(r.lat, r.lon) for r in seen("det")]
+    m = sorted(111000 * math.dist(a, b) for i, a in enumerate(p) for b in p[:i])
+    r = run("j12_a17_pair_distances_whole")[0]
+    middle = (m[(len(m) - 1) // 2] + m[len(m) // 2]) / 2
+    assert (r.pairs, r.under_100, r.under_500) == (len(m), sum(v < 100 for v in m), sum(v < 500 for v in m)) and r.max_m > 500_000
+    assert max(abs(r.min_m - m[0]), abs(r.max_m - m[-1]), abs(r.avg_m - sum(m) / len(m)), abs(r.median_m - middle)) < 2e-3
+
+
+def test_median_by_selection(spark):
+    from pelagos.operators import spatial
+    for n in (1, 2, 999, 1000):
+        values = sorted(i * 7919 % 1009 % 300 / 7 for i in range(n))
+        df = spark.createDataFrame([(v,) for v in values], "m double")
+        assert spatial.median(df, "m", n, values[0], values[-1], 4, 10) == (values[(n - 1) // 2] + values[n // 2]) / 2
