@@ -63,3 +63,10 @@ def pair_distances(spark, d):
     median = spatial.median(m, "m", s.pairs, s.lo, s.hi)
     r = spark.createDataFrame([(s.pairs, s.lo, s.mean, s.hi, median, s.under_100, s.under_500)], "pairs long, min_m double, avg_m double, max_m double, median_m double, under_100 long, under_500 long")
     return r.select(*[F.round(c, 3).alias(c) if c.endswith("_m") else F.col(c) for c in r.columns])
+
+
+@query("j14_nearest_report_whole")
+def nearest_report(spark, d):
+    a = view(spark, d, "det").orderBy("detect_id").limit(10).select("detect_id", "lat", "lon")
+    b = view(spark, d, "pred72").select("plat", "plon")
+    return b.crossJoin(F.broadcast(a)).groupBy("detect_id").agg(F.round(F.min(geo.haversine_m("lat", "lon", "plat", "plon")), 3).alias("nearest_m"))

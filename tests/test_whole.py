@@ -126,3 +126,21 @@ def test_median_by_selection(spark):
         values = sorted(i * 7919 % 1009 % 300 / 7 for i in range(n))
         df = spark.createDataFrame([(v,) for v in values], "m double")
         assert spatial.median(df, "m", n, values[0], values[-1], 4, 10) == (values[(n - 1) // 2] + values[n // 2]) / 2
+
+
+def _metres(lat1, lon1, lat2, lon2):
+    lat1, lon1, lat2, lon2 = map(math.radians, (lat1, lon1, lat2, lon2))
+    a = math.sin((lat2 - lat1) / 2) ** 2 + math.cos(lat1) * math.cos(lat2) * math.sin((lon2 - lon1) / 2) ** 2
+    return 2 * 6371000 * math.asin(math.sqrt(min(a, 1)))
+
+
+def test_nearest_of_all_reports(spark, tmp_path):
+    # one vessel with a report, and dark detections some 5 degrees north of all reports
+    spark.sql("SELECT id * 53 AS event_id, 1L AS user_id, timestamp_micros(1705320000000000 - id * 60000000) AS ts, 100e0 AS value FROM range(20)").write.parquet(str(tmp_path / "events.parquet"))
+    from pelagos.plans.adapters import view
+    det = sorted(view(spark, str(tmp_path), "det").collect(), key=lambda r: r.detect_id)[:10]
+    pred = view(spark, str(tmp_path), "pred72").collect()
+    got = {r.detect_id: r.nearest_m for r in catalog.queries()["j14_nearest_report_whole"](spark, str(tmp_path)).collect()}
+    want = {r.detect_id: min(_metres(r.lat, r.lon, p.plat, p.plon) for p in pred) for r in det}
+    assert got.keys() == want.keys() and len(got) == 10 and all(abs(got[k] - want[k]) < 0.01 for k in want)
+    assert max(got.values()) > 100_000
