@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pelagos.functions import geo, scoring
-from pelagos.operators.spatial import cell_join, degrees_for
+from pelagos.operators.spatial import radius_join
 
 
 @dataclass(frozen=True)
@@ -58,13 +58,12 @@ def predict(reports: DataFrame) -> DataFrame:
 
 
 def candidates(det: DataFrame, pred: DataFrame, options: Options = Options()) -> DataFrame:
-    """Pairs inside the gate min(min(400 + 10 t, 800), hard), met on grid cells of 800 m."""
-    dlat, dlon = degrees_for(min(800.0, options.hard_gate_m))
+    """Pairs inside the gate min(min(400 + 10 t, 800), hard), met on cells of 800 m."""
     d = det.select("detect_id", F.col("lat").alias("dlat"), F.col("lon").alias("dlon"), "confidence", "vessel_length_m", "vessel_width_m", "vessel_speed_k", "vessel_type", "heading_degrees")
     p = pred.select("mmsi", "plat", "plon", "sog", F.col("heading").alias("ais_heading"), "vtype", "len_f", "wid_f", "minutes", "uncertainty_m")
     dist = geo.haversine_m("dlat", "dlon", "plat", "plon")
     gate = F.least(F.least(400.0 + 10.0 * F.col("minutes"), F.lit(800.0)), F.lit(options.hard_gate_m))
-    return cell_join(d, p, "dlat", "dlon", "plat", "plon", dlat, dlon, dist <= gate).withColumn("distance_m", dist)
+    return radius_join(d, p, "dlat", "dlon", "plat", "plon", min(800.0, options.hard_gate_m), dist <= gate).withColumn("distance_m", dist)
 
 
 def scored(pairs: DataFrame, options: Options = Options()) -> DataFrame:

@@ -3,11 +3,11 @@ cells with an exact residual, so no side is broadcast unchecked and no cross pro
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagos.functions.geo import EARTH_M
+
 
 def _cells(lat: str, lon: str, dlat: float, dlon: float, ring: bool) -> Column:
     y, x = F.floor(F.col(lat) / dlat), F.floor(F.col(lon) / dlon)
@@ -24,9 +24,20 @@ def cell_join(a: DataFrame, b: DataFrame, lat_a: str, lon_a: str, lat_b: str, lo
     return left.join(right, (F.col("_cell") == F.col("_cell_b")) & condition, how).drop("_cell", "_cell_b")
 
 
-def degrees_for(radius_m: float, max_lat: float = 75.0) -> tuple[float, float]:
-    """Cell sides that hold a radius up to a latitude."""
-    return radius_m / 110_000, radius_m / (110_000 * math.cos(math.radians(max_lat)))
+def _cube(lat: str, lon: str, side_m: float) -> list[Column]:
+    y, x = F.radians(F.col(lat)), F.radians(F.col(lon))
+    return [F.floor(v * (EARTH_M / side_m)).cast("long") for v in (F.cos(y) * F.cos(x), F.cos(y) * F.sin(x), F.sin(y))]
+
+
+def radius_join(a: DataFrame, b: DataFrame, lat_a: str, lon_a: str, lat_b: str, lon_b: str, radius_m: float, condition: Column, how: str = "inner") -> DataFrame:
+    """cell_join for great-circle distances up to radius_m, at every latitude and across the
+    antimeridian: cells are cubes about the points of the sphere, whose chords are no longer
+    than their arcs. b goes into its 27 cubes, a into its own, so a pair meets once."""
+    side = radius_m * 1.001  # above the rounding of coordinates
+    x, y, z = _cube(lat_b, lon_b, side)
+    ring = F.array(*[F.struct((x + i).alias("x"), (y + j).alias("y"), (z + k).alias("z")) for i in (-1, 0, 1) for j in (-1, 0, 1) for k in (-1, 0, 1)])
+    left = a.withColumn("_cell", F.struct(*[c.alias(n) for n, c in zip("xyz", _cube(lat_a, lon_a, side))]))
+    return left.join(b.withColumn("_cell_b", F.explode(ring)), (F.col("_cell") == F.col("_cell_b")) & condition, how).drop("_cell", "_cell_b")
 
 
 def renamed(df: DataFrame, suffix: str) -> DataFrame:

@@ -144,3 +144,13 @@ def test_nearest_of_all_reports(spark, tmp_path):
     want = {r.detect_id: min(_metres(r.lat, r.lon, p.plat, p.plon) for p in pred) for r in det}
     assert got.keys() == want.keys() and len(got) == 10 and all(abs(got[k] - want[k]) < 0.01 for k in want)
     assert max(got.values()) > 100_000
+
+
+def test_candidates_at_every_latitude(spark):
+    from pelagos.operators import correlate
+    d = [(1, 80.0, 10.0), (2, 20.0, 179.9995), (3, 89.999, 0.0), (4, 36.0, -76.0), (5, -80.0, 30.04), (6, 0.0, 0.0), (7, None, 1.0)]
+    p = [(1, 80.0, 10.041), (2, 20.0, -179.9995), (3, 89.999, 180.0), (4, 36.004, -76.004), (5, -80.0, 30.0), (6, -0.003, -0.003), (7, 36.008, -76.0), (8, None, 1.0)]
+    det = spark.createDataFrame(d, "detect_id long, lat double, lon double").selectExpr("*", "0.9D AS confidence", "1D AS vessel_length_m", "1D AS vessel_width_m", "1D AS vessel_speed_k", "'cargo' AS vessel_type", "0D AS heading_degrees")
+    pred = spark.createDataFrame(p, "mmsi long, plat double, plon double").selectExpr("*", "1D AS sog", "0D AS heading", "70 AS vtype", "1D AS len_f", "1D AS wid_f", "60D AS minutes", "0D AS uncertainty_m")
+    got = sorted((r.detect_id, r.mmsi) for r in correlate.candidates(det, pred).collect())
+    assert got == [(i, j) for i, *a in d for j, *b in p if None not in a + b and _metres(*a, *b) <= 800] and len(got) == 6
