@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,31 +34,48 @@ def mix(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
-def sums(b: np.ndarray) -> np.ndarray:
-    """Prefix sums of the polynomial of mixed bytes; len(b) + 1 of them."""
-    p, _ = _powers(len(b) + 1)
-    table = mix(np.arange(1, 257, dtype=np.uint64))
-    out = np.zeros(len(b) + 1, np.uint64)
+class Sums(NamedTuple):
+    """Of a byte string: prefix sums of a polynomial, and the four bytes from each place on."""
+    s: np.ndarray
+    four: np.ndarray
+
+
+def sums(b: np.ndarray) -> Sums:
+    """The polynomial's coefficients are mixed runs of four bytes, not single ones: a polynomial
+    of two letters modulo 2**64 has strings of 1024 letters (Thue-Morse) that collide for any base."""
+    n = len(b)
+    p, _ = _powers(n + 1)
+    pad = np.concatenate([b, np.zeros(3, np.uint8)]).astype(np.uint32)
+    four = pad[:n] | pad[1:n + 1] << np.uint32(8) | pad[2:n + 2] << np.uint32(16) | pad[3:n + 3] << np.uint32(24)
+    out = np.zeros(n + 1, np.uint64)
     with np.errstate(over="ignore"):
-        np.cumsum(table[b] * p[:len(b)], dtype=np.uint64, out=out[1:])
-    return out
+        np.cumsum(mix(four + np.uint64(1)) * p[:n], dtype=np.uint64, out=out[1:])
+    return Sums(out, four)
+
+
+_MASKS = np.array([0, 0xFF, 0xFFFF, 0xFFFFFF], np.uint32)
 
 
-def spans(s: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+def spans(x: Sums, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of b[start:end], from sums(b). Equal strings have equal hashes wherever they lie."""
-    _, inv = _powers(len(s))
+    _, inv = _powers(len(x.s))
+    size = end - start
     with np.errstate(over="ignore"):
-        return mix((s[end] - s[start]) * inv[start] + (end - start).astype(np.uint64))
+        out = (x.s[np.maximum(end - 3, start)] - x.s[start]) * inv[start]
+        short = np.flatnonzero(size < 4)
+        if len(short) and len(x.four):
+            out[short] = mix((x.four[np.minimum(start[short], len(x.four) - 1)] & _MASKS[size[short]]).astype(np.uint64))
+        return mix(out + size.astype(np.uint64))
 
 
-def windows(s: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all substrings of length k."""
-    n = len(s) - k
+def windows(x: Sums, k: int) -> np.ndarray:
+    """Hashes of all substrings of length k, four at least."""
+    n = len(x.s) - k
     if n <= 0:
         return np.zeros(0, np.uint64)
-    _, inv = _powers(len(s))
+    _, inv = _powers(len(x.s))
     with np.errstate(over="ignore"):
-        return mix((s[k:] - s[:n]) * inv[:n])
+        return mix((x.s[k - 3:k - 3 + n] - x.s[:n]) * inv[:n])
 
 
 _WHITE = np.zeros(256, bool)
