@@ -5,7 +5,7 @@ versioned slot-to-shard map says where each slot lives. Rebalancing edits the ma
 Law: `bytes` (shard sizes nearly equal).
 
 Defined results: null text counts 16 bytes and has the checksum of the empty text; a null
-doc_id hashes as the empty string; repeated rows are rows of their own; an empty table
+doc_id is hashed by its text instead; repeated rows are rows of their own; an empty table
 gives no rows; other columns of the input are ignored.
 """
 
@@ -26,7 +26,7 @@ def records(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("long").alias("doc_id"),
         (F.coalesce(F.octet_length("text"), F.lit(0)) + RECORD_BYTES).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("long") % SLOTS).cast("int").alias("vslot"),
+        (F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")))))), 1, 8), 16, 10).cast("long") % SLOTS).cast("int").alias("vslot"),
     )
 
 
@@ -40,7 +40,6 @@ def slot_map(totals: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     One row folds an array of at most SLOTS totals, so its size doesn't follow the input.
     """
-    spark = totals.sparkSession
     folded = totals.agg(F.array_sort(F.collect_list(F.struct((-F.col("bytes")).alias("k"), "vslot", "bytes", "rows"))).alias("s")).selectExpr(
         "s",
         f"""aggregate(s, named_struct('loads', array_repeat(0L, {shards}), 'put', cast(array() as array<int>), 'at', 0),
@@ -50,7 +49,6 @@ def slot_map(totals: DataFrame, shards: int = SHARDS) -> DataFrame:
                 'at', cast(array_position(transform(acc.loads, (l, i) -> if(i = acc.at, l + x.bytes, l)),
                       array_min(transform(acc.loads, (l, i) -> if(i = acc.at, l + x.bytes, l)))) - 1 as int))).put as put""",
     )
-    del spark
     return folded.select(F.explode(F.arrays_zip("s", "put")).alias("z")).select(
         F.lit(1).alias("version"), F.col("z.s.vslot").alias("vslot"), F.col("z.put").alias("shard"), F.col("z.s.bytes").alias("bytes"), F.col("z.s.rows").alias("rows"))
 
@@ -88,7 +86,7 @@ WITH tab AS (SELECT list(c ORDER BY i) AS t FROM (
 recs AS (SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + {RECORD_BYTES} AS BIGINT) AS size,
   xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda b: ('0x' || b)::BIGINT)),
       lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS text_crc32,
-  CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8))::BIGINT % {SLOTS} AS INTEGER) AS vslot FROM documents, tab),
+  CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))), 1, 8))::BIGINT % {SLOTS} AS INTEGER) AS vslot FROM documents, tab),
 tot AS (SELECT vslot, CAST(sum(size) AS BIGINT) AS b, count(*) AS n FROM recs GROUP BY vslot),
 seq AS (SELECT list({{'loads': []::BIGINT[], 'put': []::INTEGER[], 'b': b}} ORDER BY b DESC, vslot) AS s, list(vslot ORDER BY b DESC, vslot) AS v FROM tot),
 fold AS (SELECT v, list_reduce(list_prepend({{'loads': list_transform(range({SHARDS}), lambda i: 0::BIGINT), 'put': []::INTEGER[], 'b': 0::BIGINT}}, s),

@@ -7,7 +7,7 @@ a fraction: documents in the order of a seeded hash are taken once more until th
 met, the last of them in part.
 
 Defined results: null or blank text has size 0 and is taken 0 words; a null source is a
-source of its own; repeated rows are rows of their own; an empty table gives no rows; other
+source of its own; a null doc_id is hashed by its text; repeated rows are rows of their own; an empty table gives no rows; other
 columns of the input are ignored.
 """
 
@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pelagos.llm.names import free_name
 from pelagos.session import materialize, table
 
 NAME = "op8_water_filling"
@@ -50,10 +51,11 @@ def targets(sizes: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, sh
 
 def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
     """doc_id, size, source, source_size, target, taken of every document."""
-    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce("text", F.lit("")))))))
     base = materialize(docs.select(
+        h.alias("h"),
         F.col("doc_id").cast("long").alias("doc_id"), "source",
-        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size")), "words").withColumn("h", h)
+        F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long").alias("size")), "words")
     base = base.withColumn("bucket", (F.conv(F.substring("h", 1, 8), 16, 10).cast("long") % BUCKETS).cast("int"))
     per = materialize(base.groupBy("source", "bucket").agg(F.sum("size").alias("words")), "buckets")
     goal = targets(per.groupBy("source").agg(F.sum("words").alias("source_size")), weights, epochs)
@@ -75,10 +77,12 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: i
 
 
 def mixed(docs: DataFrame, weights: tuple = WEIGHTS, epochs: int = EPOCHS, seed: int = SEED) -> DataFrame:
-    """docs with each row as often as the mix takes it, to the nearest whole number."""
-    times = mix(docs, weights, epochs, seed).filter("taken > 0").select(F.col("doc_id").alias("_id"), (F.col("taken") + F.expr("size div 2")).alias("_t"), F.col("size").alias("_s"))
-    times = times.groupBy("_id").agg(F.expr("max(_t div _s)").cast("int").alias("_n")).filter("_n > 0")
-    return docs.join(times, docs["doc_id"].eqNullSafe(times["_id"])).withColumn("_n", F.explode(F.sequence(F.lit(1), "_n"))).select(*docs.columns)
+    """docs with each row as often as the mix takes it, to the nearest whole number. Rows of one
+    doc_id (null is one) are taken as often as the one of them that is taken most."""
+    key, n = free_name(docs, "id"), free_name(docs, "n")
+    times = mix(docs, weights, epochs, seed).filter("taken > 0").withColumn("t", F.expr("(taken + size div 2) div size"))
+    times = times.groupBy(F.col("doc_id").alias(key)).agg(F.max("t").cast("int").alias(n)).filter(F.col(n) > 0)
+    return docs.join(times, docs["doc_id"].eqNullSafe(times[key])).withColumn(n, F.explode(F.sequence(F.lit(1), n))).select(*docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,7 +91,7 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 ORACLE_SQL = f"""
 WITH base AS (SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0) AS BIGINT) AS size,
-  md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+  md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))) AS h FROM documents),
 b2 AS (SELECT *, CAST(('0x' || substr(h, 1, 8))::BIGINT % {BUCKETS} AS INTEGER) AS bucket FROM base),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk FROM b2 GROUP BY source),
 w AS (SELECT *, [{', '.join(map(str, WEIGHTS))}][rk % {len(WEIGHTS)} + 1] AS w, source_size * {EPOCHS} AS cap FROM src),

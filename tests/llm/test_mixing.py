@@ -63,3 +63,9 @@ def test_mixed_rows(docs, words):
     for r in out.collect():
         n[r.source] += 1
     assert out.columns == df.columns and n["a"] == 15 and abs(n["b"] - 185) <= 1
+
+
+def test_mixed_keeps_columns_of_clashing_names(docs, words):
+    df = docs([(i, words(10, i), "en", "a") for i in range(20)]).selectExpr("*", "1 AS _n", "2 AS _id", "3 AS _t", "4 AS _s", "5 AS t", "6 AS taken")
+    out = op.mixed(df)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == list(range(20))

@@ -45,3 +45,9 @@ def test_edge_cases(docs, spark):
     assert op.shard(docs([])).count() == 0
     rows = op.shard(docs([(None, None), (1, "é"), (1, "é"), (2, "x" * 100_000)], extra=True)).collect()
     assert sorted((str(r.doc_id), r.size, r.text_crc32) for r in rows) == [("1", 18, zlib.crc32("é".encode()))] * 2 + [("2", 100_016, zlib.crc32(b"x" * 100_000)), ("None", 16, 0)]
+
+
+def test_null_ids_are_spread(docs, words):
+    rows = op.shard(docs([(None, words(20, i)) for i in range(2000)] + [(i, words(20, i)) for i in range(500)])).collect()
+    load = [sum(r.size for r in rows if r.shard == k) for k in range(op.SHARDS)]
+    assert len(rows) == 2500 and max(load) < 1.1 * sum(load) / op.SHARDS
