@@ -1,8 +1,9 @@
 """Language ID: a linear-chain conditional random field over words.
 
 Affix, n-gram and lexicon features (hashed) score each word for each language, learned
-transitions tie neighbours, forward-backward gives each word's posterior, so code-switched
-text gets a label per word. A document's language is the one with the largest share of the
+transitions tie neighbours, forward-backward over the whole text gives each word's posterior,
+so code-switched text gets a label per word (blocks of CHAIN words are computed side by side,
+with exact messages between them). A document's language is the one with the largest share of the
 posterior of its words; that share is the score.
 
 It is fitted on a bounded sample: at most PER_LANG documents of each language, of at most
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
+from pelagos.llm.names import free_name
 from pelagos.session import long_rows, table
 
 NAME = "op6_conditional_random_field"
@@ -70,24 +72,58 @@ def emissions(model: Model, b: np.ndarray, start: np.ndarray, end: np.ndarray) -
     return out
 
 
-def posterior(emit: np.ndarray, chain: np.ndarray, place: np.ndarray, trans: np.ndarray):
-    """Forward-backward over all chains at once: word marginals, and expected transitions."""
+def _carried(e: np.ndarray, live: np.ndarray, t: np.ndarray, linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Messages between the blocks of a chain: forward into each block from the one before, and
+    backward to its last word from the one after. A block as a whole is a k x k matrix; the
+    blocks of all chains are walked rank by rank."""
+    steps, n, k = e.shape
+    into, after = np.ones((n, k), np.float32), np.ones((n, k), np.float32)
+    many = np.flatnonzero(linked | np.append(linked[1:], False))
+    if not len(many):
+        return into, after
+    m = np.where(linked[many, None, None], t[None], 1) * e[0, many, None, :]
+    for i in range(steps):
+        new = m if not i else (m.reshape(-1, k) @ t).reshape(-1, k, k) * e[i, many, None, :]
+        m = np.where(live[i, many, :, None], new / new.sum((1, 2), keepdims=True), m)
+    whole = np.empty((n, k, k), np.float32)
+    whole[many] = m
+    first = np.maximum.accumulate(np.where(linked, 0, np.arange(n)))
+    rank = np.arange(n) - first
+    order = np.argsort(rank, kind="stable")
+    ranks = np.split(order, np.flatnonzero(np.diff(rank[order])) + 1)
+    for at in ranks[1:]:
+        v = np.where(linked[at - 1, None], np.einsum("nx,nxy->ny", into[at - 1], whole[at - 1]), whole[at - 1, 0])
+        into[at] = v / v.sum(1, keepdims=True)
+    for at in ranks[:0:-1]:
+        v = np.einsum("nxy,ny->nx", whole[at], after[at])
+        after[at - 1] = v / v.sum(1, keepdims=True)
+    return into, after
+
+
+def posterior(emit: np.ndarray, chain: np.ndarray, place: np.ndarray, trans: np.ndarray, linked: np.ndarray | None = None):
+    """Forward-backward over all blocks at once: word marginals, and expected transitions. A
+    linked block goes on with the chain of the block before; what it carries is exact."""
     k, n = emit.shape[1], int(chain[-1]) + 1 if len(chain) else 0
     steps = int(place.max()) + 1 if len(place) else 0
+    if not n:
+        return np.zeros((0, k), np.float32), np.zeros((k, k))
+    linked = np.zeros(n, bool) if linked is None else linked
     e = np.ones((steps, n, k), np.float32)
     live = np.zeros((steps, n, 1), bool)
     e[place, chain] = np.exp(emit - emit.max(1, keepdims=True))
     live[place, chain] = True
     t = np.exp(trans - trans.max()).astype(np.float32)
+    into, after = _carried(e, live, t, linked)
     fwd = np.empty_like(e)
-    a = e[0] / e[0].sum(1, keepdims=True) if steps else None
+    a = np.where(linked[:, None], into @ t, 1) * e[0]
+    a /= a.sum(1, keepdims=True)
     for i in range(steps):
         if i:
             new = (a @ t) * e[i]
             new /= new.sum(1, keepdims=True)
             a = np.where(live[i], new, a)
         fwd[i] = a
-    back = np.ones((n, k), np.float32)
+    back = after
     pair = np.zeros((k, k))
     for i in range(steps - 1, -1, -1):
         if i < steps - 1:
@@ -96,19 +132,23 @@ def posterior(emit: np.ndarray, chain: np.ndarray, place: np.ndarray, trans: np.
             new = eb @ t.T
             z = (fwd[i] * new).sum(1, keepdims=True)
             pair += t * (np.where(on, fwd[i] / z, 0).T @ eb)
-            back = np.where(on, new / new.sum(1, keepdims=True), 1)
+            back = np.where(on, new / new.sum(1, keepdims=True), back)
         fwd[i] *= back
+    eb = (e[0] * back)[linked]
+    z = (into[linked] * (eb @ t.T)).sum(1, keepdims=True)
+    pair += t * ((into[linked] / z).T @ eb)
     m = fwd[place, chain]
     return m / m.sum(1, keepdims=True), pair
 
 
-def chains(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Words of a document in chains of CHAIN words: number of the chain, place in it."""
+def chains(doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each document's words are one chain, in blocks of CHAIN words: number of the block, place
+    in it, and for each block whether it goes on with the one before."""
     if not len(doc):
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool)
     first = np.flatnonzero(np.concatenate([[True], np.diff(doc) != 0]))
     place = np.arange(len(doc)) - np.repeat(first, np.diff(np.append(first, len(doc))))
-    return np.cumsum(place % CHAIN == 0) - 1, place % CHAIN
+    return np.cumsum(place % CHAIN == 0) - 1, place % CHAIN, place[place % CHAIN == 0] > 0
 
 
 def fit(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int = SEED) -> Model:
@@ -133,8 +173,8 @@ def fit(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int = S
             ends = np.cumsum([len(s) + 1 for s, _ in part])
             seg = np.searchsorted(ends, start, side="right")
             gold = np.array([y for _, y in part])[seg]
-            chain, place = chains(seg // 3)  # three segments in a row
-            m, pair = posterior(emissions(model, b, start, end), chain, place, model.trans)
+            chain, place, linked = chains(seg // 3)  # three segments in a row
+            m, pair = posterior(emissions(model, b, start, end), chain, place, model.trans, linked)
             err = -m
             err[np.arange(len(gold)), gold] += 1
             grams, word = features(b, start, end)
@@ -147,7 +187,7 @@ def fit(texts: list[str], labels: list[str], epochs: int = EPOCHS, seed: int = S
                     total_w[f, :, y] += g * g
                     model.weights[f, :, y] += 0.1 * g / np.sqrt(total_w[f, :, y])
             seen = np.zeros((k, k))
-            inner = place[1:] > 0
+            inner = (place[1:] > 0) | linked[chain[1:]]
             np.add.at(seen, (gold[:-1][inner], gold[1:][inner]), 1)
             g = (seen - pair) / len(part)
             total_t += g * g
@@ -159,7 +199,8 @@ def label_words(model: Model, text: str) -> list[tuple[str, str, float]]:
     """(word, language, posterior) of each word of one text."""
     b = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
     start, end = bh.words(b)
-    m, _ = posterior(emissions(model, b, start, end), *chains(np.zeros(len(start), np.int64)), model.trans)
+    chain, place, linked = chains(np.zeros(len(start), np.int64))
+    m, _ = posterior(emissions(model, b, start, end), chain, place, model.trans, linked)
     raw = b.tobytes()
     return [(raw[s:e].decode("utf-8", "replace"), model.langs[y], float(p[y])) for s, e, p, y in zip(start, end, m, m.argmax(1) if len(m) else [])]
 
@@ -172,7 +213,8 @@ def predict(model: Model | None, texts: list) -> tuple[list[str], list[float]]:
     for first, b, starts in bh.chunks([texts[i].lower() for i in lettered]):
         start, end = bh.words(b)
         doc = np.searchsorted(starts, start, side="right") - 1
-        m, _ = posterior(emissions(model, b, start, end), *chains(doc), model.trans)
+        chain, place, linked = chains(doc)
+        m, _ = posterior(emissions(model, b, start, end), chain, place, model.trans, linked)
         n = len(starts) - 1
         mass = np.stack([np.bincount(doc, m[:, y], n) for y in range(len(model.langs))], 1)
         share = mass / np.maximum(mass.sum(1, keepdims=True), 1e-9)
@@ -201,15 +243,16 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
     """The columns `keep` of docs, held_out, lang_pred and score. The model's size is fixed by
     BITS and the number of languages, whatever the corpus."""
     held = docs.sparkSession.sparkContext.broadcast(model)
-    src = long_rows(docs).select(*keep, F.col("text").alias("_text"), held_out(F.col("doc_id")).alias("held_out"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != "_text") + ", lang_pred string, score double"
+    text = free_name(docs, "text")
+    src = long_rows(docs).select(*keep, F.col("text").alias(text), held_out(F.col("doc_id")).alias("held_out"))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in src.schema if f.name != text) + ", lang_pred string, score double"
 
     def task(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                langs, scores = predict(held.value, part.column("_text").to_pylist())
-                names = [n for n in part.schema.names if n != "_text"]
+                langs, scores = predict(held.value, part.column(text).to_pylist())
+                names = [n for n in part.schema.names if n != text]
                 yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*names, "lang_pred", "score"])
 
     return src.mapInArrow(bh.lean(task), schema)

@@ -42,6 +42,20 @@ def test_posteriors_by_enumeration():
     assert np.allclose(m, want / z, atol=1e-4) and np.allclose(pair, want_pair / z, atol=1e-3)
 
 
+@pytest.mark.parametrize("chain", [1, 2, 3, 5])
+def test_messages_between_blocks_are_exact(monkeypatch, chain):
+    import numpy as np
+    rng = np.random.default_rng(1)
+    doc = np.repeat(np.arange(7), [1, 2, 13, 3, 30, 4, 5])
+    e, t = rng.normal(size=(len(doc), 4)).astype("f4"), rng.normal(size=(4, 4)).astype("f4")
+    got = []
+    for size in (chain, 64):
+        monkeypatch.setattr(op, "CHAIN", size)
+        blocks, place, linked = op.chains(doc)
+        got.append(op.posterior(e, blocks, place, t, linked))
+    assert np.allclose(got[0][0], got[1][0], atol=1e-5) and np.allclose(got[0][1], got[1][1], atol=1e-4)
+
+
 def test_transitions_keep_a_language(model):
     import numpy as np
     assert (np.diag(model.trans) > model.trans.max(1, where=~np.eye(len(model.langs), dtype=bool), initial=-9)).all()
