@@ -1,6 +1,9 @@
 """URL filter: allow and block rules, then a logistic regression on hashed character n-grams
 of host and path, trained from a small labelled URL table (native: MLlib runs in the JVM).
 
+The labelled table is built by a rule (labelled_urls) from some 120 harmless and 54 unwanted words,
+about 1000 URLs, none of them on a host of `pages`.
+
 A rule fits its host and all subdomains if the path starts with the rule's path; the longest
 wins (host, then path). Where none fits, the regression's verdict holds.
 
@@ -23,27 +26,33 @@ NAME = "op9_url_regression"
 RULES = (("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block"))
 FEATURES, GRAMS = 1 << 14, (3, 4)
 
-#: The small labelled URL table, 1 = block.
-LABELLED = (
-    ("https://www.city-library.example.com/en/opening-hours", 0), ("https://blog.gardening.example.net/en/roses", 0),
-    ("http://news.harbour.example.org/en/2021/ferry-timetable", 0), ("https://m.recipes.example.com/de/brot", 0),
-    ("https://museum.example.net/fr/collections", 0), ("http://www.university.example.org/en/physics/lecture-3", 0),
-    ("https://docs.compiler.example.net/en/manual", 0), ("https://blog.travel.example.com/es/andes", 0),
-    ("http://weather.example.net/en/forecast?page=2", 0), ("https://www.history.example.org/de/mittelalter", 0),
-    ("https://chess.example.com/en/openings/451.html", 0), ("https://m.cinema.example.net/fr/458", 0),
-    ("https://blog.theatre.example.net/en/960", 0), ("http://there.example.com/en/676", 0),
-    ("https://other.example.net/en/25#top", 0), ("https://thinking.example.net/es/797#top", 0),
-    ("https://www.birds.example.net/en/171", 0), ("http://blog.maths.example.net/fr/65.html", 0),
-    ("http://www.cheap-watches.example.com/en/450?page=2", 1), ("http://www.cheap-pills-online.example.com/en/9", 1),
-    ("https://spam-links.example.net/en/728", 1), ("http://link-farm.example.net/en/55?ref=x", 1),
-    ("http://casino-bonus.example.com/en/free-spins", 1), ("https://www.best-casino.example.net/de/12", 1),
-    ("http://buy-followers.example.com/en/offer", 1), ("https://viagra-pills.example.net/en/order", 1),
-    ("http://xxx-cams.example.com/en/live", 1), ("https://payday-loans-fast.example.net/es/apply", 1),
-    ("http://www.cheap-pills.example.net/fr/176/", 1), ("https://seo-farm.example.com/en/backlinks", 1),
-    ("http://replica-bags-cheap.example.net/en/3", 1), ("https://spam-farm.example.net/en/100", 1),
-    ("http://win-prize-now.example.com/en/claim", 1), ("http://adult-dating.example.net/fr/join", 1),
-    ("https://poker-casino.example.com/en/853/", 1), ("https://cheap-meds.example.com/de/612?utm_source=feed", 1),
-)
+#: What the labelled URLs are about.
+GOOD = (
+    "library museum gardening harbour recipes university compiler travel weather history chess cinema theatre birds maths physics chemistry biology geology astronomy "
+    "painting sculpture poetry novels grammar dictionary languages cooking baking cycling sailing hiking climbing swimming football tennis orchestra choir guitar piano "
+    "newspaper journal magazine parliament council hospital school kindergarten railway airport bridge architecture carpentry pottery knitting photography philosophy "
+    "economics statistics law medicine nursing farming forestry fishing beekeeping vineyard mountain river island village market bakery science research nature thinking other "
+    "the this that than then there they what when with within where which north south earth month truth theory station nation question answer time people world home house hand life work year day night water"
+).split()
+BAD = (
+    "adult xxx porn sex cams escort dating casino poker bets betting jackpot slots roulette lottery gambling ads adserver track tracker tracking clicks banner popunder "
+    "affiliate pills meds pharma viagra cialis steroids spam farm links seo backlinks replica watches handbags payday loans credit bitcoin-doubler prize winner giveaway "
+    "warez torrent crack keygen malware phishing followers likes"
+).split()
+LURES = ("cheap", "free", "best", "win", "online", "x", "bonus", "buy", "fast", "hot")
+PAGES = ("en/{n}", "de/{n}.html", "fr/{n}?page=2", "es/{n}#top", "en/{n}/", "en/{n}?utm_source=feed&ref=x")
+
+
+def labelled_urls() -> tuple:
+    """The labelled table, 1 = block: each topic on a plain host and beside six
+    others (most URLs are harmless), each bad one also with lures before and after it, over subdomains, domains, languages and page forms in turn."""
+    subs, tops = ("", "www.", "blog.", "m."), ("com", "net", "org", "info")
+    hosts = [(w, 0) for w in GOOD] + [(f"{w}{'-' if k % 2 else ''}{GOOD[((6 * k + 1) * i + k) % len(GOOD)]}", 0) for k in range(1, 7) for i, w in enumerate(GOOD)]
+    hosts += [(w, 1) for w in BAD] + [(f"{LURES[i % len(LURES)]}-{w}", 1) for i, w in enumerate(BAD)] + [(f"{w}-{LURES[(3 * i + 1) % len(LURES)]}", 1) for i, w in enumerate(BAD)]
+    return tuple((f"http{'s' * (i % 2)}://{subs[i % 4]}{h}.example{i % 3}.{tops[i // 2 % 4]}/{PAGES[i % len(PAGES)].format(n=37 * i % 1000)}", y) for i, (h, y) in enumerate(hosts))
+
+
+LABELLED = labelled_urls()
 
 
 def parts(urls: DataFrame) -> DataFrame:
@@ -77,7 +86,7 @@ def train(spark: SparkSession, labelled: tuple = LABELLED):
     """The regression on the labelled table; its size is fixed by that table, not by the corpus."""
     values = ", ".join("('{}', {}D)".format(u.replace("'", "''"), y) for u, y in labelled)
     rows = spark.sql(f"SELECT * FROM VALUES {values} AS t(url, label)").coalesce(1)
-    return LogisticRegression(regParam=0.01, maxIter=50, standardization=False).fit(hashed(grams(parts(rows))))
+    return LogisticRegression(regParam=0.001, maxIter=50, standardization=False).fit(hashed(grams(parts(rows))))
 
 
 def hashed(df: DataFrame) -> DataFrame:
