@@ -4,14 +4,20 @@ The token stream of a page is read into nested elements. The content of an eleme
 an expression over labels (tag, classes, id, role): adjacent equal items fold into a
 repetition, repeated runs of up to four labels into a repeated group. The expressions of a
 host's pages are aligned one after the other: items that match are merged, mismatches become
-optional, texts that differ become slots, equal texts stay part of the template. A wrapper
-marks which items are page furniture: by their label, and texts that never change where they stand,
-inside an article too; a repetition of an article (its paragraphs) is content as a whole.
+optional, texts that differ become slots, equal texts stay part of the template, and every
+text slot sums up how much of it stood in links.
+
+The aligned expression says what goes: texts that never change where they stand, inside an
+article too (a repetition of an article, its paragraphs, is content as a whole); outside an
+article, items that are links for the most part (menus in plain elements); and items whose
+label only hints at furniture (WORDS) if they are links or template for the most part. Labels
+alone judge what HTML itself or the task names (DROP, NAMED: menus, headers, footers, notices,
+adverts, forms, reader comments vary from page to page as articles do), and, by their hints,
+what the wrapper has seen on fewer than three pages.
 
-A page is read along its host's wrapper; what the wrapper hasn't seen is judged by label.
 Wrappers are inferred from all different pages of a host, in PARTS parts that are aligned
-afterwards; every page is extracted whole. Wrappers of up to WRAPPERS characters in all are broadcast,
-more are joined.
+afterwards; every page is extracted whole. Elements more than DEPTH deep count as children of
+the element there. Wrappers of up to WRAPPERS characters in all are broadcast, more are joined.
 
 Defined results: null html gives an empty text; a null url has the empty host; repeated rows
 are extracted alike; without an article or main element the whole body counts, less the
@@ -23,6 +29,7 @@ from __future__ import annotations
 import html as entities
 import json
 import re
+from difflib import SequenceMatcher
 from functools import lru_cache
 from hashlib import blake2b
 
@@ -34,7 +41,7 @@ from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, materialize, table
 
 NAME = "op3_union_free_wrappers"
-PARTS, WRAPPERS, PERIOD = 64, 4_000_000, 4
+PARTS, WRAPPERS, PERIOD, DEPTH, LINKS = 64, 4_000_000, 4, 100, 0.6
 SCHEMA = "page_id long, url string, text string, n_chars long"
 
 #: HTML element names and the words that mark furniture.
@@ -42,11 +49,13 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template textarea iframe title xmp noembed noframes".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul caption".split())
 DROP = frozenset("head script style noscript template textarea iframe title nav header footer aside form button select option input label svg canvas object embed audio video dialog menu fieldset".split())
-WORDS = frozenset("ad ads adv advert adverts advertisement advertisements adbox adsbygoogle banner sponsor sponsored promo promotion sidebar aside menu nav navbar navigation breadcrumb breadcrumbs header masthead footer cookie cookies consent gdpr notice notices alert popup modal overlay newsletter subscribe signup login comment comments commentlist disqus respond reply replies share sharing social related recommended recommendations widget toolbar pagination pager skip search".split())
+NAMED = frozenset("ad ads adv advert adverts advertisement advertisements adbox adsbygoogle sponsor sponsored sidebar aside menu nav navbar navigation breadcrumb breadcrumbs masthead cookie cookies consent gdpr notice notices newsletter subscribe signup login comment comments commentlist disqus respond reply replies".split())
+WORDS = frozenset("banner promo promotion header footer alert popup modal overlay share sharing social related recommended recommendations widget toolbar pagination pager skip search".split())
 ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"tr", "td", "th", "thead", "tbody"}}
 HOLDS = frozenset("html body div section article main table ul ol dl form aside nav header footer blockquote td th li".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)", re.S)
+LINK = re.compile(r"a(?![a-z0-9-])")
 ATTR = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 
 
@@ -61,14 +70,15 @@ def label_of(tag: str, attrs: str) -> str:
 
 
 @lru_cache(1 << 14)
-def furniture(label: str) -> bool:
-    """Judged by the label alone."""
+def hints(label: str) -> int:
+    """2: furniture by its label alone, 1: the label hints at it, 0: it doesn't."""
     tag, *marks = re.split(r"(?=[.#@])", label)
     if tag in DROP or any(m[0] == "@" and m[1:] in ROLES for m in marks):
-        return True
+        return 2
+    words = {w for m in marks for w in re.split("[^a-z]+", m[1:])}
     if tag in ("html", "body", "article", "main"):
-        return tag == "article" and any(w in ("comment", "comments") for m in marks for w in re.split("[^a-z]+", m[1:]))
-    return any(w in WORDS for m in marks for w in re.split("[^a-z]+", m[1:]))
+        return 2 if tag == "article" and words & {"comment", "comments"} else 0
+    return 2 if words & NAMED else 1 if words & WORDS else 0
 
 
 def region(label: str) -> bool:
@@ -139,22 +149,26 @@ def nested(page: str):
         yield "/", stack.pop()[1]
 
 
-# ---- inference. An item is [label, optional, many, content, text, pages]; '#' is text, '&' a group.
+# ---- inference. An item is [label, optional, many, content, text, pages, characters, of them in
+# links]; '#' is text, '&' a group. The last two are summed up in texts.
 
 
 def expression(page: str) -> list:
     top: list = []
-    stack = [top]
+    stack, links = [top], []
     for kind, x in nested(page):
         if kind == "<":
-            item = [x, False, False, [], None, 1]
+            item = [x, False, False, [], None, 1, 0, 0]
             stack[-1].append(item)
-            stack.append(item[3])
+            stack.append(item[3] if len(stack) < DEPTH else stack[-1])
+            links.append(bool(links and links[-1] or LINK.match(x)))
         elif kind == "/":
-            done = fold(stack.pop())
-            stack[-1][-1][3] = done
+            links.pop()
+            done = stack.pop()
+            if stack[-1] is not done:
+                stack[-1][-1][3] = fold(done)
         elif kind == "t" and (text := " ".join(x.split())):
-            stack[-1].append(["#", False, False, [], text, 1])
+            stack[-1].append(["#", False, False, [], text, 1, len(text), len(text) if links and links[-1] else 0])
     return fold(top)
 
 
@@ -163,7 +177,7 @@ def _key(item: list):
 
 
 def _merge(a: list, b: list) -> list:
-    return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3]), a[4] if a[4] == b[4] else None, a[5] + b[5]]
+    return [a[0], a[1] or b[1], a[2] or b[2], align(a[3], b[3]), a[4] if a[4] == b[4] else None, a[5] + b[5], a[6] + b[6], a[7] + b[7]]
 
 
 def fold(items: list) -> list:
@@ -186,35 +200,23 @@ def fold(items: list) -> list:
                 body = out[at:at + p]
                 for k in range(1, n):
                     body = [_merge(a, b) for a, b in zip(body, out[at + k * p:at + (k + 1) * p])]
-                out[at:at + n * p] = [["&", False, True, body, None, 1]]
+                out[at:at + n * p] = [["&", False, True, body, None, 1, 0, 0]]
             at += 1
     return out
 
 
 def align(a: list, b: list) -> list:
-    """Two expressions of the same host: longest common run of labels, the rest optional."""
+    """Two expressions of the same host: runs of equal labels are merged, the rest is optional."""
     if not a or not b:
         return [[i[0], True, *i[2:]] for i in a or b]
     ka, kb = [_key(i) for i in a], [_key(i) for i in b]
     if ka == kb:
         return [_merge(x, y) for x, y in zip(a, b)]
-    n, m = len(a), len(b)
-    best = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n - 1, -1, -1):
-        for j in range(m - 1, -1, -1):
-            best[i][j] = best[i + 1][j + 1] + 1 if ka[i] == kb[j] else max(best[i + 1][j], best[i][j + 1])
     out, i, j = [], 0, 0
-    while i < n and j < m:
-        if ka[i] == kb[j]:
-            out.append(_merge(a[i], b[j]))
-            i, j = i + 1, j + 1
-        elif best[i + 1][j] >= best[i][j + 1]:
-            out.append([a[i][0], True, *a[i][2:]])
-            i += 1
-        else:
-            out.append([b[j][0], True, *b[j][2:]])
-            j += 1
-    out += [[x[0], True, *x[2:]] for x in a[i:] + b[j:]]
+    for x, y, n in SequenceMatcher(None, ka, kb, False).get_matching_blocks():
+        out += [[i[0], True, *i[2:]] for i in a[i:x] + b[j:y]]
+        out += [_merge(p, q) for p, q in zip(a[x:x + n], b[y:y + n])]
+        i, j = x + n, y + n
     return out
 
 
@@ -259,26 +261,68 @@ def marks(whole: list, pages: int) -> dict:
     dropped; '#': digests of fixed texts, which are dropped}. A text is fixed if it never changes
     where its item stands, on three pages and on half of them at least; inside an article a
     repetition (paragraphs, list items) is content as a whole."""
+    def still(i, inside):
+        return bool(i[4]) and i[5] >= 3 and 2 * i[5] >= pages and not inside
+
+    def sums(items, out):
+        """Characters, those in links, texts in links, characters of fixed texts."""
+        for i in items:
+            if i[0] == "#":
+                out[0] += i[6]
+                out[1] += i[7]
+                out[2] += (2 if i[2] else 1) * (i[7] > 0)
+                out[3] += i[6] * still(i, False)
+            else:
+                more = sums(i[3], [0, 0, 0, 0])
+                more[2] *= 2 if i[2] else 1
+                out[:] = map(sum, zip(out, more))
+        return out
+
     def marked(items, main, many):
         out: dict = {}
+        gone = []
         for i in items:
             if i[0] == "&":
                 _join(out, marked(i[3], main, True))
-            elif i[0] == "#":
-                if i[4] and i[5] >= 3 and 2 * i[5] >= pages and not (main and many):
+                continue
+            if i[0] == "#":
+                if still(i, main and many):
                     _join(out, {"#": [i[4]]})
-            elif furniture(i[0]):
-                out[i[0]] = None
+                continue
+            hint, here = hints(i[0]), main or region(i[0])
+            drop = hint == 2
+            if not drop and (hint or not here):
+                size, linked, links, fixed = sums(i[3], [0, 0, 0, 0])
+                menu = size > 0 and linked >= LINKS * size and links > 1
+                drop = hint and (pages < 3 or menu or 2 * fixed >= size) or menu and not here and not holds(i[3])
+            if drop:
+                gone.append(i)
             else:
-                _join(out, {i[0]: marked(i[3], main or region(i[0]), many or i[2])})
+                _join(out, {i[0]: marked(i[3], here, many or i[2])})
+        for i in gone:
+            if out.get(i[0]) is None:
+                out[i[0]] = None
+            else:  # a sibling of the same label stays: what the dropped one holds goes
+                for below in labels(i[3]):
+                    out[i[0]].setdefault(below, None)
         return out
 
+    def labels(items):
+        for i in items:
+            if i[0] == "&":
+                yield from labels(i[3])
+            elif i[0] != "#":
+                yield i[0]
+
+    def holds(items):
+        return any(region(i[0]) or holds(i[3]) for i in items)
+
     return marked(whole, False, False)
 
 
 def _join(out: dict, more: dict) -> None:
     for k, v in more.items():
-        if k not in out:
+        if out.get(k) is None:  # content wins over what is dropped under the same label
             out[k] = v
         elif k == "#":
             out[k] = sorted({*out[k], *v})
@@ -310,10 +354,10 @@ def extract(page: str, wrapper: dict) -> str:
                 flush()
             below = items.get(x, False) if items else False
             if not drop:
-                drop = below is None or (below is False and furniture(x))
+                drop = below is None or (below is False and hints(x) > 0)
             if not drop and region(x):
                 seen = main = True
-            stack.append((drop, below or {}, main))
+            stack.append((drop, (below or {}) if len(stack) < DEPTH else items, main))
         elif kind == "/":
             if x.split(".", 1)[0].split("#", 1)[0].split("@", 1)[0] in BLOCK and not drop:
                 flush()

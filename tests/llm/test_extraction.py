@@ -70,3 +70,50 @@ def test_repeated_groups_and_optional_items():
 def test_pages_of_the_tables(spark, sf):
     rows = op.query(spark, sf).collect()
     assert rows and all(r.n_chars == len(r.text) and "track(" not in r.text and "©" not in r.text for r in rows)
+
+
+def known_pages():
+    """(host, html, article) of 64 pages of four hosts, built around known articles."""
+    import random
+    rng = random.Random(4)
+    word = lambda: "".join(rng.choice("abcdefghilmnoprstu") for _ in range(rng.randint(2, 9)))
+    say = lambda n: " ".join(word() for _ in range(n))
+    out = []
+    for i in range(64):
+        blocks = [say(5)] + [say(rng.randint(8, 30)) for _ in range(rng.randint(1, 5))]
+        body = f"<h1>{blocks[0]}</h1>" + "".join(f"<p>{b}</p>" for b in blocks[1:])
+        menu = "".join(f"<li><a href='/{w}'>{w}</a></li>" for w in ("news", "about", "shop", "team"))
+        more = "".join(f"<li><a href='/x'>{say(4)}</a></li>" for _ in range(3))
+        kind = i % 4
+        if kind == 0:  # a fixed text inside the article
+            html = f"<body><nav>{menu}</nav><article>{body}<div>Support our paper</div></article><footer>(c)</footer></body>"
+        elif kind == 1:  # no article, no telling label
+            html = f"<body><div id='top'><ul>{menu}</ul></div><div id='mid'>{body}</div><div id='rest'><b>More stories</b><ul>{more}</ul></div><div id='end'><p>All rights with us</p></div></body>"
+        elif kind == 2:  # hints that mislead, and hints that don't
+            blocks.append(say(25))
+            html = f"<body><article>{body}<section class='related-work'><p>{blocks[-1]}</p></section><div class='related'><ul>{more}</ul></div></article></body>"
+        else:  # comments vary as articles do
+            html = f"<body><main>{body}<form><p>Write to us</p></form><section class='comments'><p>{say(12)}</p></section></main></body>"
+        out.append((f"h{kind}.example.com", f"<html><head><title>t</title></head>{html}</html>", "\n\n".join(blocks)))
+    return out
+
+
+def test_known_pages_need_the_wrapper(spark):
+    pages = known_pages()
+    got = run(spark, [(i, f"http://{h}/{i}", p) for i, (h, p, _) in enumerate(pages)])
+    assert [i for i, (_, _, text) in enumerate(pages) if got[i] != text] == []
+    alone = [op.extract(p, {}) == text for _, p, text in pages]
+    assert not any(alone[0::4]) and not any(alone[1::4]) and not any(alone[2::4])
+
+
+def test_deep_and_wide_pages(spark):
+    deep = "<div>" * 10_000 + "core" + "</div>" * 10_000
+    wide = "".join(f"<p class='k{'abcdefghij'[i % 10]}{'xyzuvw'[i % 6]}'>t{i}</p>" for i in range(4000))
+    rows = [(1, "http://deep/1", deep), (2, "http://deep/2", deep.replace("core", "heart")), (3, "http://wide/1", wide), (4, "http://wide/2", wide.replace("t1", "s1")), (5, "http://b/", "<b>" * 3000 + "bold")]
+    got = run(spark, rows)
+    assert got[1] == "core" and got[2] == "heart" and got[3] == "\n\n".join(f"t{i}" for i in range(4000)) and got[5] == "bold"
+
+
+def test_clashing_columns(spark):
+    df = spark.createDataFrame([(1, "http://h/", "<p>text</p>", "a", "b", 3)], "page_id long, url string, html string, host string, wrapper string, n_chars int")
+    assert op.extracted(df).collect() == [(1, "http://h/", "text", 4)]
