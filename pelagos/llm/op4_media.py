@@ -5,7 +5,7 @@ A payload of bytes is stored without loss as quantised DCT coefficients of a pro
 one Huffman code of one bit serves a scan. Two spectral bands come in two approximations
 each (Al = 1, then the last bit). Reading a file accumulates its scans into coefficient
 arrays, inverse-transforms them in numpy, upsamples chroma and gives a full-resolution RGB
-tensor. The reader takes any progressive JPEG with 8-bit samples and without restarts; scans
+tensor, which the result stores beside the media column. The reader takes any progressive JPEG with 8-bit samples and without restarts; scans
 whose codes have one length are read as arrays, others bit by bit.
 
 Defined results: a null text is empty, its payload 64 zero bytes; a null doc_id stays null;
@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
@@ -28,10 +28,10 @@ from pelagos.llm import bytehash as bh
 from pelagos.session import long_rows, table
 
 NAME = "op4_progressive_jpeg"
-PAD, PER_BLOCK, BANDS, ROWS = 64, 63, ((1, 5), (6, 63)), 256
+PAD, PER_BLOCK, BANDS, ROWS, SLICE, BYTES = 64, 63, ((1, 5), (6, 63)), 256, 4096, 8 << 20
 FACTORS = ((1, 2, 2), (2, 1, 1), (3, 1, 1))  # component, horizontal and vertical sampling
 MEDIA = "doc_id long, n_bytes long, media binary"
-READ = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+READ = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, media binary, height int, width int, rgb binary"
 
 
 def payload(text: str | None) -> tuple[int, bytes]:
@@ -65,11 +65,30 @@ def _table(kind: int, at: int, symbol: int) -> bytes:
     return _segment(0xC4, bytes([kind << 4 | at, 1, *[0] * 15, symbol]))
 
 
-def _scan(parts, ss: int, se: int, ah: int, al: int, bits: np.ndarray) -> bytes:
-    head = bytes([len(parts)]) + bytes(x for c, t in parts for x in (c, t)) + bytes([ss, se, ah << 4 | al])
-    fill = -len(bits) % 8
-    data = np.packbits(np.concatenate([bits, np.ones(fill, np.uint8)])).tobytes() if fill else np.packbits(bits).tobytes()
-    return _segment(0xDA, head) + data.replace(b"\xff", b"\xff\x00")
+def _scan(parts, ss: int, se: int, ah: int, al: int, pieces: Iterable[np.ndarray]) -> bytes:
+    """pieces: bits; all but the last fill whole bytes."""
+    out = [_segment(0xDA, bytes([len(parts)]) + bytes(x for c, t in parts for x in (c, t)) + bytes([ss, se, ah << 4 | al]))]
+    for bits in pieces:
+        fill = -len(bits) % 8
+        data = np.packbits(np.concatenate([bits, np.ones(fill, np.uint8)]) if fill else bits).tobytes()
+        out.append(data.replace(b"\xff", b"\xff\x00"))
+    return b"".join(out)
+
+
+def _first(v: np.ndarray, a: int, b: int) -> Iterator[np.ndarray]:
+    for at in range(0, len(v), SLICE):
+        part = v[at:at + SLICE, a - 1:b]
+        bits = np.zeros((*part.shape, 9), np.uint8)
+        bits[:, :, 1:] = np.unpackbits((part >> 1 | 128)[:, :, None], axis=2)
+        yield bits.reshape(-1)
+
+
+def _last(v: np.ndarray, a: int, b: int) -> Iterator[np.ndarray]:
+    for at in range(0, len(v), SLICE):
+        part = v[at:at + SLICE, a - 1:b]
+        bits = np.zeros((len(part), b - a + 2), np.uint8)
+        bits[:, 1:] = part & 1
+        yield bits.reshape(-1)
 
 
 @cache
@@ -89,19 +108,11 @@ def encode(n: int, data: bytes) -> bytes:
     values = values.reshape(-1, PER_BLOCK)
     out = [b"\xff\xd8", _segment(0xFE, f"payload {len(data)} of {n}".encode()), _tables(),
            _segment(0xC2, struct.pack(">BHHB", 8, mh * 16, mw * 16, 3) + b"".join(bytes([c, h << 4 | v, 0]) for c, h, v in FACTORS)),
-           _scan([(1, 0), (2, 0), (3, 0)], 0, 0, 0, 1, np.zeros(k * 6, np.uint8))]
+           _scan([(1, 0), (2, 0), (3, 0)], 0, 0, 0, 1, [np.zeros(k * 6, np.uint8)])]
     planes = [(1, values[:4 * k]), (2, values[4 * k:5 * k]), (3, values[5 * k:])]
-    for c, v in planes:
-        bits = np.zeros((len(v), PER_BLOCK, 9), np.uint8)
-        bits[:, :, 1:] = np.unpackbits((v >> 1 | 128)[:, :, None], axis=2)
-        for a, b in BANDS:
-            out.append(_scan([(c, 0)], a, b, 0, 1, bits[:, a - 1:b].reshape(-1)))
-    for c, v in planes:
-        last = np.zeros((len(v), PER_BLOCK + 1), np.uint8)
-        last[:, 1:] = v & 1
-        for a, b in BANDS:
-            out.append(_scan([(c, 1)], a, b, 1, 0, np.concatenate([last[:, :1], last[:, a:b + 1]], axis=1).reshape(-1)))
-    out.append(_scan([(1, 0), (2, 0), (3, 0)], 0, 0, 1, 0, np.zeros(k * 6, np.uint8)))
+    out += [_scan([(c, 0)], a, b, 0, 1, _first(v, a, b)) for c, v in planes for a, b in BANDS]
+    out += [_scan([(c, 1)], a, b, 1, 0, _last(v, a, b)) for c, v in planes for a, b in BANDS]
+    out.append(_scan([(1, 0), (2, 0), (3, 0)], 0, 0, 1, 0, [np.zeros(k * 6, np.uint8)]))
     return b"".join([*out, b"\xff\xd9"])
 
 
@@ -136,7 +147,7 @@ class _Bits:
 
 def _dc_first(bits, codes, owner, planes, order, al, fast):
     """Differences of size 0 with the code 0 are skipped in runs."""
-    n, diffs = len(owner), np.zeros(len(owner), np.int64)
+    n, diffs = len(owner), np.zeros(len(owner), np.int32)
     if fast and codes == {2: 0} and not bits[:n].any():
         pass
     else:
@@ -152,7 +163,7 @@ def _ac_first(bits, codes, plane, ss, se, al, fast):
     one = next(iter(codes.values())) if len(codes) == 1 and 2 in codes else 0
     width = se - ss + 1
     if fast and 0 < one <= 8 and len(bits) >= (need := len(plane) * width * (one + 1)):
-        v = np.packbits(bits[:need].reshape(-1, one + 1)[:, 1:], axis=1)[:, 0].astype(np.int64) >> (8 - one)
+        v = np.packbits(bits[:need].reshape(-1, one + 1)[:, 1:], axis=1)[:, 0].astype(np.int32) >> (8 - one)
         v = np.where(v >> (one - 1), v, v - (1 << one) + 1)
         plane[:, ss:se + 1] = (v << al).reshape(-1, width) if (v >= 0).all() else (np.sign(v) * (abs(v) << al)).reshape(-1, width)
         return
@@ -181,7 +192,7 @@ def _ac_refine(bits, codes, plane, ss, se, al, fast):
     width = se - ss + 1
     band = plane[:, ss:se + 1]
     if fast and codes == {2: 0} and len(bits) >= (need := len(plane) * (width + 1)) and band.all():
-        step = bits[:need].reshape(-1, width + 1)[:, 1:].astype(np.int64) << al
+        step = bits[:need].reshape(-1, width + 1)[:, 1:].astype(np.int32) << al
         plane[:, ss:se + 1] = band + step if (band > 0).all() else band + np.sign(band) * step
         return
     r, run = _Bits(bits), 0
@@ -249,7 +260,7 @@ def coefficients(data: bytes, fast: bool = True) -> dict:
             comps = [(body[6 + 3 * i], body[7 + 3 * i] >> 4, body[7 + 3 * i] & 15, body[8 + 3 * i]) for i in range(n)]
             hm, vm = max(c[1] for c in comps), max(c[2] for c in comps)
             mw, mh = -(-w // (8 * hm)), -(-h // (8 * vm))
-            got = {"planes": {c: np.zeros((mw * ch * mh * cv, 64), np.int64) for c, ch, cv, _ in comps}, "grid": {c: (mh * cv, mw * ch) for c, ch, cv, _ in comps}, "quant": {c: q for c, _, _, q in comps},
+            got = {"planes": {c: np.zeros((mw * ch * mh * cv, 64), np.int32) for c, ch, cv, _ in comps}, "grid": {c: (mh * cv, mw * ch) for c, ch, cv, _ in comps}, "quant": {c: q for c, _, _, q in comps},
                    "own": {c: (-(-(-(-h * cv // vm)) // 8), -(-(-(-w * ch // hm)) // 8)) for c, ch, cv, _ in comps}, "factors": {c: (cv, ch) for c, ch, cv, _ in comps}, "mcus": (mh, mw), "size": (h, w)}
         elif marker == 0xDD and body != b"\0\0":
             raise ValueError("restart intervals are not read")
@@ -302,7 +313,7 @@ def _accumulate(got, huff, parts, ss, se, ah, al, bits, fast) -> None:
     if ah:
         for c, plane in planes.items():
             mine = owner == c
-            plane[order[mine], 0] |= bits[:len(owner)][mine].astype(np.int64) << al
+            plane[order[mine], 0] |= bits[:len(owner)][mine].astype(np.int32) << al
     else:
         codes = [huff[t >> 4] for _, t in parts]
         same = all(x == codes[0] for x in codes)
@@ -310,7 +321,7 @@ def _accumulate(got, huff, parts, ss, se, ah, al, bits, fast) -> None:
 
 
 def _dc_mixed(bits, codes, owner, planes, order, al) -> None:
-    r, diffs = _Bits(bits), np.zeros(len(owner), np.int64)
+    r, diffs = _Bits(bits), np.zeros(len(owner), np.int32)
     for i, c in enumerate(owner.tolist()):
         diffs[i] = r.signed(r.symbol(codes[c]))
     for c, plane in planes.items():
@@ -362,12 +373,13 @@ def feature(tensor: np.ndarray) -> str:
 
 
 def _batches(rows: Iterator[tuple], schema: pa.Schema, most: int = ROWS) -> Iterator[pa.RecordBatch]:
-    held = []
+    held, size = [], 0
     for r in rows:
         held.append(r)
-        if len(held) == most:
+        size += sum(len(x) for x in r if isinstance(x, bytes))
+        if len(held) == most or size >= BYTES:
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
-            held = []
+            held, size = [], 0
     if held:
         yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), schema)], schema=schema)
 
@@ -403,8 +415,10 @@ def tensors(media: DataFrame) -> DataFrame:
 
 
 def read_back(media: DataFrame) -> DataFrame:
-    """Digests of what the stored bytes give: payload, stored form and tensor features."""
-    schema = pa.schema([(c.split()[0], pa.int64() if c.endswith("long") else pa.string()) for c in READ.split(", ")])
+    """What the stored bytes give: digests of payload and stored form, features, and the media
+    column itself with its full-resolution RGB tensor (row-major bytes, height x width x 3)."""
+    kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary()}
+    schema = pa.schema([(c.split()[0], kinds[c.split()[1]]) for c in READ.split(", ")])
 
     def task(batches):
         def rows():
@@ -413,8 +427,9 @@ def read_back(media: DataFrame) -> DataFrame:
                     data = data.as_py()
                     got = coefficients(data)
                     n, back = restore(got)
-                    yield (doc, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-PAD:]), len(data), hashlib.sha256(data).hexdigest(), feature(rgb(got)))
-        yield from _batches(rows(), schema, 2000)
+                    t = rgb(got)
+                    yield (doc, n, len(back), hashlib.sha256(back).hexdigest(), zlib.crc32(back[-PAD:]), len(data), hashlib.sha256(data).hexdigest(), feature(t), data, t.shape[0], t.shape[1], t.tobytes())
+        yield from _batches(rows(), schema)
 
     return media.mapInArrow(bh.lean(task), READ)
 

@@ -32,7 +32,7 @@ def general(coefs):
         put(v if v > 0 else v + (1 << size) - 1, size)
 
     def segment(b):
-        return op._scan([(1, 0)], *b, np.array(bits, np.uint8))
+        return op._scan([(1, 0)], *b, [np.array(bits, np.uint8)])
 
     symbols = sorted({(r << 4) | s for r in range(16) for s in range(0, 4)} | {0xF0})
     table = bytes([0x10, *[0] * 7, len(symbols), *[0] * 8, *symbols])
@@ -110,3 +110,18 @@ def test_query_and_edge_cases(docs):
     assert op.read_back(op.store(docs([]))).count() == 0
     t = op.tensors(op.store(docs(["x"]))).first()
     assert len(t.rgb) == t.height * t.width * 3
+
+
+def test_result_stores_media_and_tensors(docs):
+    r = op.read_back(op.store(docs([(1, "some text " * 300)]))).first()
+    import numpy as np
+    t = np.frombuffer(r.rgb, np.uint8).reshape(r.height, r.width, 3)
+    assert hashlib.sha256(r.media).hexdigest() == r.media_sha256 and op.feature(t) == r.feature
+    assert (t == op.rgb(op.coefficients(bytes(r.media)))).all()
+
+
+def test_long_text_is_written_in_slices(monkeypatch):
+    n, data = op.payload("längere Zeilen " * 40_000)
+    whole = op.encode(n, data)
+    monkeypatch.setattr(op, "SLICE", 8)
+    assert op.encode(n, data) == whole and op.restore(op.coefficients(whole)) == (n, data)
