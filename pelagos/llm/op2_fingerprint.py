@@ -226,7 +226,7 @@ def ordered(docs: DataFrame) -> DataFrame:
                     names=["part", "guest", "okey", "doc_id", "z"])
 
     dealt = docs.mapInArrow(bh.lean(deal), "part int, guest boolean, okey long, doc_id long, z binary")
-    return dealt.repartition(len(bounds) + 1, "part").sortWithinPartitions("part", "guest", "okey", "z")
+    return dealt.repartitionById(len(bounds) + 1, "part").sortWithinPartitions("part", "guest", "okey", "z")
 
 
 def streamed(batches: Iterator[pa.RecordBatch], most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
