@@ -3,30 +3,33 @@
 Which strings can repeat: of the GRAM-byte substrings of a 100-byte window, the one of the
 least hash (the leftmost of equals) stands for the window, so equal windows have equal ones
 at the same place. Consecutive windows with the same one form a segment. Segments are sorted
-by gram and content; of equal segments the earliest stays as their representative, and every
-window of the others is a repeat. Equal segments of a batch are merged before the shuffle,
-and the sorted rows are read as a stream, so a large group of copies is never gathered.
-
-Suffix arrays: representatives that share a gram are concatenated, a bucket of grams of about
-BUCKET bytes at a time, in order of their occurrence. Two-stage sorting orders the suffixes:
-those smaller than their successor directly, the others induced by scanning the buckets of
-first bytes. Adjacent suffixes whose common prefix reaches 100 bytes are equal windows; all
-but the first occurrence are repeats.
-
-A gram with more than CROWD different representatives (one passage in very many contexts) is
-never gathered: its windows are hashed (128 bits) and the earliest of each is a minimum,
-combined before the shuffle. That path is exact and has no cap.
+by gram and content; of segments that are equal as a whole (two 64-bit hashes; most copies of
+a corpus are that) the earliest stays as their representative, and every window of the others
+is a repeat. Equal segments of a batch are merged before the shuffle, and the sorted rows are
+read as a stream, so a large group of copies is never gathered.
+
+Suffix arrays decide between different segments: representatives that share a gram are
+concatenated, a bucket of grams of about BUCKET bytes at a time, in order of their occurrence.
+Two-stage sorting orders the suffixes: those smaller than their successor directly, the others
+induced by scanning the buckets of first bytes. Adjacent suffixes whose common prefix reaches
+100 bytes are equal windows; all but the first occurrence are repeats.
+
+A gram with more than CROWD different representatives (one passage in very many contexts)
+would fill an array of its own without bound. Its segments are halved: windows with much
+context to the right of the gram take half of what is missing to 100 bytes there into a longer
+gram, the others to the left. What is equal then is merged, and the suffix arrays take the
+rest as before; what is still crowded is halved again, until the gram is the window.
 
 Defined results: a null text is empty; a null doc_id comes first; equal doc_ids with
-different texts are documents one after the other, and rows equal in both are one document
-that gives as many rows; texts under 100 bytes are kept whole; an empty table gives no rows;
-other columns are ignored.
+different texts are documents one after the other (by a hash of the text), and rows equal in
+both are one document that gives as many rows; texts under 100 bytes are kept whole; an empty
+table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -35,23 +38,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.session import keep, long_rows, materialize, table
+from pelagos.llm.names import free_name
+from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op10_two_stage_suffixes"
 LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-# a place: 24 bits that tell the texts of one doc_id apart, 31 bits of start, 8 bits of windows
-TX, AT = 39, 8
+NULL = -(1 << 63)
+AT = 8  # a place: start in the text, and 8 bits of windows
 
 
 def _raw(text) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def _tx(raw: bytes) -> int:
-    return zlib.crc32(raw) & 0xFFFFFF
-
-
 # ---- candidates
 
 
@@ -96,11 +96,10 @@ def segments(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
         for batch in (whole.slice(at, 3000) for whole in batches for at in range(0, whole.num_rows, 3000)):
             key = batch.column(0).to_numpy()
             raws = [_raw(t.as_py()) for t in batch.column(1)]
-            tx = np.array([_tx(r) for r in raws], np.int64)
             parts = []
             for first, b, starts in bh.chunks(raws):
                 h, sh, text, at, windows = representatives(b, starts, length, gram)
-                parts.append((h, sh, key[first + text], tx[first + text] << TX | at << AT | windows))
+                parts.append((h, sh, key[first + text], at << AT | windows))
             h, sh, okey, place = (np.concatenate(c) for c in zip(*parts))
             order = np.lexsort((place, okey, sh, h))
             h, sh, okey, place = h[order], sh[order], okey[order], place[order]
@@ -112,7 +111,7 @@ def segments(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
             h = np.where(copy, bh.mix(okey.view(np.uint64) + place.view(np.uint64)), h)
             yield pa.RecordBatch.from_arrays([pa.array(copy), pa.array(h.view(np.int64)), pa.array(sh.view(np.int64)), pa.array(okey), pa.array(place)], names=["copy", "h", "sh", "okey", "place"])
 
-    return docs.mapInArrow(bh.lean(task), "copy boolean, h long, sh long, okey long, place long")
+    return docs.select("okey", "text").mapInArrow(bh.lean(task), "copy boolean, h long, sh long, okey long, place long")
 
 
 def sifted(batches):
@@ -279,27 +278,98 @@ def _bucket_spans(rows: pa.Table, length: int) -> pa.Table:
     edge = np.diff(np.concatenate([[0], (again & valid).astype(np.int8), [0]]))
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     seg = np.searchsorted(begin, start, side="right") - 1  # windows of two segments never touch
-    at = ((place >> AT) & 0x7FFFFFFF)[seg] + start - begin[seg]
-    return pa.table({"okey": okey[seg], "tx": place[seg] >> TX, "a": at, "b": at + (stop - start) + length - 1})
+    at = (place >> AT)[seg] + start - begin[seg]
+    return pa.table({"okey": okey[seg], "a": at, "b": at + (stop - start) + length - 1})
+
+
+# ---- crowded grams
+
+
+def halved(batches, length: int):
+    """Rows of segments (okey, place, bytes, g: place of the gram in them, size: its bytes) ->
+    their halves, with hashes of the longer gram and of the whole segment."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 1000):
+            b = whole.slice(at, 1000)
+            out = []
+            for key, place, raw, g, size in zip(*(b.column(c).to_pylist() for c in ("okey", "place", "bytes", "g", "size"))):
+                n, start, lack = place & 0xFF, place >> AT, length - size
+                first = min(n, max(0, g - lack // 2))  # windows before this one have much to the left
+                for lo, hi, left, right in ((0, first, g - lack // 2 - 1, g + size), (first, n, g, g + size + -(-lack // 2))):
+                    if lo < hi:
+                        out.append((raw[lo:hi + length - 1], left, right, lo, hi, key, (start + lo) << AT | hi - lo))
+            if out:
+                b_, starts = bh._join([o[0] for o in out])
+                sums, begin = bh.sums(b_), starts[:-1]
+                left, right, lo = (np.array([o[i] for o in out], np.int64) for i in (1, 2, 3))
+                h = bh.spans(sums, begin + left - lo, begin + right - lo)
+                sh = bh.spans(sums, begin, starts[1:] - 1)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (h.view(np.int64), sh.view(np.int64), [o[5] for o in out], [o[6] for o in out])] + [pa.array([o[0] for o in out], pa.binary()), pa.array(left - lo), pa.array(right - left)], names=["h", "sh", "okey", "place", "bytes", "g", "size"])
+
+
+def _found(batches, gram: int):
+    """Adds g and size: the leftmost place of the gram of hash `group` that all windows hold."""
+    for b in batches:
+        g = []
+        for h, place, raw in zip(b.column("group").to_pylist(), b.column("place").to_pylist(), b.column("bytes").to_pylist()):
+            hashes = bh.windows(bh.sums(np.frombuffer(raw, np.uint8)), gram).view(np.int64)
+            low = (place & 0xFF) - 1
+            g.append(low + int(np.flatnonzero(hashes[low:] == h)[0]))
+        yield pa.RecordBatch.from_arrays([b.column(c) for c in ("okey", "place", "bytes")] + [pa.array(g, pa.int64()), pa.array([gram] * len(g), pa.int64())], names=["okey", "place", "bytes", "g", "size"])
+
+
+def uncrowded(many: DataFrame, length: int, gram: int, crowd: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """many(group: hash of the gram, okey, place, bytes) of crowded grams -> copies of earlier
+    segments (okey, place), and representatives (h, okey, place, bytes) of grams that have several,
+    `crowd` at most. Each round halves what is missing between gram and window."""
+    rows = materialize(many.mapInArrow(bh.lean(lambda x: _found(x, gram)), "okey long, place long, bytes binary, g long, size long"), "crowd")
+    copies, few = [], []
+    while True:
+        halves = materialize(rows.mapInArrow(bh.lean(lambda x: halved(x, length)), "h long, sh long, okey long, place long, bytes binary, g long, size long"), "halves")
+        release(rows)
+        me = F.struct("okey", "place")
+        heads = cut(halves.groupBy("h", "sh").agg(F.min(me).alias("head"), F.count(F.lit(1)).alias("n")), "heads")
+        copies.append(halves.join(heads.filter("n > 1"), ["h", "sh"]).filter(me != F.col("head")).select("okey", "place"))
+        kinds = cut(heads.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "kinds")
+        reps = halves.join(heads, ["h", "sh"]).filter(me == F.col("head")).select("h", "okey", "place", "bytes", "g", "size")
+        few.append(reps.join(kinds.filter(F.col("kinds") <= crowd).select("h"), "h", "left_semi").select("h", "okey", "place", "bytes"))
+        rows = materialize(reps.join(kinds.filter(F.col("kinds") > crowd).select("h"), "h", "left_semi").select("okey", "place", "bytes", "g", "size"), "crowd")
+        if rows.isEmpty():
+            release(rows)
+            return copies, few
 
 
 # ---- whole corpus
 
 
+def with_key(docs: DataFrame, name: str) -> DataFrame:
+    """docs with a column `name`: longs in the order of doc_id (null first) that tell different
+    texts apart. doc_id itself where each has one text; else the place in a sort of the pairs."""
+    okey, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)), F.xxhash64(F.coalesce("text", F.lit("")))
+    pairs = docs.select(okey.alias("k"), text.alias("t"))
+    if pairs.groupBy("k").agg(F.min("t").alias("a"), F.max("t").alias("b")).filter("a <> b").isEmpty():
+        return docs.withColumn(name, okey)
+    order = materialize(pairs.distinct().orderBy("k", "t").withColumn("m", F.monotonically_increasing_id()), "keys")
+    k, t = free_name(docs, "k"), free_name(docs, "t")
+    order = order.select(F.col("k").alias(k), F.col("t").alias(t), F.col("m").alias(name))
+    return docs.withColumn(k, okey).withColumn(t, text).join(order, [k, t]).drop(k, t)
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    return long_rows(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = long_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    return with_key(docs, "okey")
 
 
 def compressed(docs: DataFrame) -> DataFrame:
-    """okey and the text as zstd: what is shuffled."""
+    """okey, doc_id and the text as zstd: what is shuffled."""
     def task(batches):
         press = zstandard.ZstdCompressor(level=1).compress
         for whole in batches:
             for at in range(0, whole.num_rows, 2000):
                 b = whole.slice(at, 2000)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array([press(_raw(t.as_py())) for t in b.column(1)], pa.binary())], names=["okey", "z"])
+                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([press(_raw(t.as_py())) for t in b.column(2)], pa.binary())], names=["okey", "doc_id", "z"])
 
-    return docs.mapInArrow(bh.lean(task), "okey long, z binary")
+    return docs.select("okey", "doc_id", "text").mapInArrow(bh.lean(task), "okey long, doc_id long, z binary")
 
 
 def cut_out(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
@@ -312,66 +382,50 @@ def cut_out(docs: DataFrame, places: DataFrame, length: int) -> DataFrame:
                 for key, z, got in zip(*(whole.slice(at, 500).column(i) for i in range(3))):
                     raw, own = unpack(z.as_py()), got.values
                     p = own.field("place").to_numpy()
-                    mine = p >> TX == _tx(raw)
-                    p = p[mine]
-                    start = (p >> AT) & 0x7FFFFFFF
+                    start = p >> AT
                     okey.append(np.full(len(p), key.as_py()))
                     place.append(p)
-                    group.append(own.field("group").to_numpy()[mine])
+                    group.append(own.field("group").to_numpy())
                     data += [raw[i:j] for i, j in zip(start.tolist(), (start + (p & 0xFF) + length - 1).tolist())]
                 if data:
                     yield pa.RecordBatch.from_arrays([*[pa.array(np.concatenate(c)) for c in (group, okey, place)], pa.array(data, pa.binary())], names=["group", "okey", "place", "bytes"])
 
     per_doc = places.groupBy("okey").agg(F.collect_set(F.struct("group", "place")).alias("places"))
-    return compressed(docs).join(per_doc, "okey").select("okey", "z", "places").mapInArrow(bh.lean(task), "group long, okey long, place long, bytes binary")
+    return compressed(docs).select("okey", "z").join(per_doc, "okey").select("okey", "z", "places").mapInArrow(bh.lean(task), "group long, okey long, place long, bytes binary")
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crowd: int = CROWD) -> DataFrame:
-    """okey, spans(tx, a, b): what (in bytes) of docs(okey, text) repeats earlier strings of `length`."""
+    """okey, spans(a, b): what (in bytes) of docs(okey, text) repeats earlier strings of `length`."""
     sorted_ = segments(docs, length, gram).repartition("h").sortWithinPartitions("copy", "h", "sh", "okey", "place")
     sift = materialize(sorted_.mapInArrow(bh.lean(sifted), "copy boolean, h long, okey long, place long"), "segments")
-    start = F.shiftright("place", AT).bitwiseAND(0x7FFFFFFF)
-    tx = F.shiftright("place", TX).alias("tx")
-    copies = sift.filter("copy").select("okey", tx, start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b"))
+    start = F.shiftright("place", AT)
+    spans = ["okey", start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b")]
 
     reps = sift.filter("NOT copy")
-    crowded = keep(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"))
+    crowded = cut(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"), "crowded")
     few = reps.join(crowded, "h", "left_anti")
     total = few.agg(F.coalesce(F.sum(F.col("place").bitwiseAND(0xFF) + length - 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET))
-    few = few.select("okey", "place", F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("group"))
-    arrays = keep(cut_out(docs, few, length).groupBy("group").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, tx long, a long, b long"))
 
-    def explode(batches):
-        for whole in batches:
-            for at in range(0, whole.num_rows, 1000):
-                b = whole.slice(at, 1000)
-                out = []
-                for key, place, raw in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), b.column(3).to_pylist()):
-                    n = place & 0xFF
-                    i = np.arange(n)
-                    arr = np.frombuffer(raw, np.uint8)
-                    back = len(arr) - length - i
-                    out.append((bh.spans(bh.sums(arr), i, i + length), bh.spans(bh.sums(arr[::-1]), back, back + length), np.full(n, key), place + (i << AT)))
-                cols = [np.concatenate(c) for c in zip(*out)] if out else []
-                if cols:
-                    yield pa.RecordBatch.from_arrays([pa.array(cols[0].view(np.int64)), pa.array(cols[1].view(np.int64)), pa.array(cols[2]), pa.array(cols[3])], names=["w1", "w2", "okey", "place"])
-
-    many = reps.join(crowded, "h", "left_semi").select("okey", "place", F.lit(0).cast("long").alias("group"))
-    many = keep(cut_out(docs, many, length).mapInArrow(bh.lean(explode), "w1 long, w2 long, okey long, place long"))
-    earliest = keep(many.groupBy("w1", "w2").agg(F.min(F.struct("okey", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n"))
-    is_first = (F.col("okey") == F.col("first.okey")) & (F.col("place") == F.col("first.place"))
-    windows = many.join(earliest, ["w1", "w2"]).filter(~is_first).select("okey", tx, start.alias("a"), (start + length).alias("b"))
-    return copies.unionByName(arrays).unionByName(windows).groupBy("okey").agg(F.collect_set(F.struct("tx", "a", "b")).alias("spans"))
+    def arrays(rows: DataFrame) -> DataFrame:
+        return keep(rows.groupBy("group").applyInArrow(lambda t: _bucket_spans(t, length), "okey long, a long, b long"))
+
+    bucket = F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("group")
+    out = sift.filter("copy").select(*spans).unionByName(arrays(cut_out(docs, few.select("okey", "place", bucket), length)))
+    if not crowded.isEmpty():
+        many = cut_out(docs, reps.join(crowded, "h", "left_semi").select("okey", "place", F.col("h").alias("group")), length)
+        copies, halves = uncrowded(many, length, gram, crowd)
+        rows = reduce(DataFrame.unionByName, halves)
+        out = reduce(DataFrame.unionByName, [c.select(*spans) for c in copies], out).unionByName(arrays(rows.select("okey", "place", "bytes", bucket)))
+    return out.groupBy("okey").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
 
 
 def _merged(raw: bytes, spans) -> tuple[np.ndarray, int]:
     """Which bytes go, and the number of their runs."""
     step = np.zeros(len(raw) + 1, np.int32)
     if spans is not None and len(spans):
-        mine = spans.field("tx").to_numpy() == _tx(raw)
-        np.add.at(step, spans.field("a").to_numpy()[mine], 1)
-        np.add.at(step, spans.field("b").to_numpy()[mine], -1)
+        np.add.at(step, spans.field("a").to_numpy(), 1)
+        np.add.at(step, spans.field("b").to_numpy(), -1)
     gone = np.cumsum(step)[:-1] > 0
     return gone, int((np.diff(np.concatenate([[0], gone.astype(np.int8)])) == 1).sum())
 
@@ -394,36 +448,35 @@ def digest(docs: DataFrame) -> DataFrame:
                         gone, runs = _merged(raw, got.values)
                         removed = int(gone.sum())
                         kept = np.frombuffer(raw, np.uint8)[~gone].tobytes()
-                    key = key.as_py()
-                    rows.append((None if key == -(1 << 63) else key, len(raw), removed, runs, hashlib.sha256(kept).hexdigest()))
+                    rows.append((key.as_py(), len(raw), removed, runs, hashlib.sha256(kept).hexdigest()))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names=names)
 
-    return compressed(docs).join(spans, "okey", "left").select("okey", "z", "spans").mapInArrow(bh.lean(task), SCHEMA)
+    return compressed(docs).join(spans, "okey", "left").select("doc_id", "z", "spans").mapInArrow(bh.lean(task), SCHEMA)
 
 
 def clean(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """docs with repeated bytes cut from the text and n_chars set to it; a document of which
     nothing is left goes. A character cut in the middle goes whole."""
-    okey = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    spans = repeated_spans(keyed(docs), length)
-    cols = docs.columns
-    joined = docs.withColumn("_okey", okey).join(spans.select(F.col("okey").alias("_okey"), F.col("spans").alias("_spans")), "_okey", "left").select(*cols, "_spans")
+    cols, okey, held = docs.columns, free_name(docs, "okey"), free_name(docs, "spans")
+    rows = with_key(long_rows(docs), okey)
+    spans = repeated_spans(rows.select(F.col(okey).alias("okey"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), length)
+    joined = rows.join(spans.select(F.col("okey").alias(okey), F.col("spans").alias(held)), okey, "left").select(*cols, held)
 
     def task(batches):
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 b = whole.slice(at, 1000)
-                texts, keep = b.column("text").to_pylist(), []
-                for i, got in enumerate(b.column("_spans")):
+                texts, keep_ = b.column("text").to_pylist(), []
+                for i, got in enumerate(b.column(held)):
                     if got.is_valid:
                         raw = _raw(texts[i])
                         gone, _ = _merged(raw, got.values)
                         texts[i] = np.frombuffer(raw, np.uint8)[~gone].tobytes().decode("utf-8", "ignore")
                     if not got.is_valid or texts[i]:
-                        keep.append(i)
+                        keep_.append(i)
                 arrays = [pa.array(texts, pa.string()) if c == "text" else pa.array([None if t is None else len(t) for t in texts], b.schema.field(c).type) if c == "n_chars" else b.column(c) for c in cols]
-                yield pa.RecordBatch.from_arrays(arrays, names=cols).take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays(arrays, names=cols).take(pa.array(keep_, pa.int64()))
 
     return joined.mapInArrow(bh.lean(task), docs.schema)
 

@@ -96,3 +96,39 @@ def test_clean(docs, words):
     out = {r.doc_id: r for r in op.clean(df).collect()}
     assert op.clean(df).columns == df.columns and sorted(out) == [1, 3, 4, 5]
     assert out[3].text == "head éé tail" and out[3].n_chars == len(out[3].text) and out[4].text is None
+
+
+@pytest.mark.parametrize("crowd", [1, 3, 8])
+def test_crowded_grams_are_halved(docs, words, monkeypatch, crowd):
+    monkeypatch.setattr(op.repeated_spans, "__defaults__", (op.LENGTH, op.GRAM, crowd))
+    base, rng, rows = words(40, 7), random.Random(2), []
+    for i in range(40):  # one passage, its context in few or in all documents the same
+        cut, tail = rng.choice([0, 20, 60, 90]), rng.choice([20, 50, 99])
+        rows.append((i, words(2, i % 4) + base[cut:cut + 60 + tail] + words(3, i % 6)))
+    assert got(docs(rows)) == brute(rows)
+
+
+def test_arrays_decide_between_different_segments(docs, words, monkeypatch):
+    """Without what the suffix arrays find, bytes are missing."""
+    rows = corpus(words)
+    whole = sum(r[2] for r in got(docs(rows)))
+    bucket = op._bucket_spans
+    monkeypatch.setattr(op, "_bucket_spans", lambda rows, length: bucket(rows, length).slice(0, 0))
+    assert sum(r[2] for r in got(docs(rows))) < whole == sum(r[2] for r in brute(rows))
+
+
+def test_many_texts_of_one_id(docs, words):
+    base = words(40, 1)
+    rows = [(None if i % 2 else 7, f"{i} {base[:120 + i % 3]} {i * 31}") for i in range(6000)]
+    out = op.digest(docs(rows)).collect()
+    assert len(out) == 6000 and sum(r.n_removed == 0 for r in out) == 1
+    assert all(r.n_removed >= 118 for r in out if r.n_removed)
+
+
+def test_long_text_and_helper_names(docs, words):
+    t = words(50_000, 2)
+    rows = [(1, t), (2, "x" + t[1000:200_000]), (3, t[:5000] * 3)]
+    assert got(docs(rows)) == brute(rows)
+    df = docs([(1, t), (1, words(30, 3)), (2, t)]).selectExpr("*", "1 AS _okey", "2 AS _spans", "3 AS _k", "4 AS _t", "5 AS m")
+    out = op.clean(df)
+    assert out.columns == df.columns and sorted(r.doc_id for r in out.collect()) == [1, 1]
