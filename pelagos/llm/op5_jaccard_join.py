@@ -1,18 +1,21 @@
 """N-gram Jaccard join: rare-first prefix filtering with length, positional and suffix filters.
 
-1. Shingles are counted over all documents, hashed and combined in map tasks, in even buckets.
-   Those of at least RARE documents go into a table of at most TABLE entries (RARE doubles
-   until they fit), which is broadcast; all others count as equally rare.
+1. Shingles are counted over all documents, hashed and combined in map tasks, in even buckets,
+   by the upper bits of their hashes (40 below the bucket's; shingles that agree there count
+   together, which is one order for all documents still). Those of at least RARE documents go
+   into a table of at most TABLE entries (RARE doubles until they fit), which is broadcast; all
+   others count as equally rare.
 2. A document's shingles are ordered rarest first (count, then hash). Documents with the same
    set are one class. The first n - ceil(t n) + 1 shingles of a class are its prefix; sets that
    link share one of them.
 3. Classes meet on a prefix shingle. Length and positional filters are part of the join; the
    suffix filter compares the counts of shingles in 16 hash ranges, a lower bound of the
-   symmetric difference. A pair left over is verified once, on whole sets.
+   symmetric difference. A pair left over is verified once, on the whole sets of both texts,
+   which travel compressed.
 4. A group of near copies isn't spelt out into pairs: first each class meets LEADERS others
    of its block and length, and the links found give components; then only pairs of different
    components meet. A link left out lies inside a component, which it
-   couldn't change.
+   couldn't change. links() leaves none out and gives them between classes.
 
 Shingles are compared as 64-bit hashes. Defined results: text that is null or without words
 has no shingle and is its own component; a null doc_id sorts before all others and its
@@ -26,15 +29,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
+from pelagos.llm.names import free_name
 from pelagos.operators.graph import connected_components
 from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op5_prefix_filter"
-RARE, TABLE, PER_BUCKET, SMALL, LEADERS = 8, 2_000_000, 1 << 20, 1_000_000, 4
+RARE, TABLE, PER_BUCKET, SMALL, LEADERS, LOW, SLICE = 8, 2_000_000, 1 << 20, 1_000_000, 4, 5, 4 << 20
 NULL = -(1 << 63)
 
 
@@ -82,26 +87,54 @@ def _raws(column) -> list[bytes]:
     return [(t.as_py() or "").encode("utf-8", "surrogatepass") for t in column]
 
 
-def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """The table of common shingles, sorted by hash, and their counts: TABLE entries at most."""
+@dataclass(frozen=True)
+class Counts:
+    """Counts of common shingles, sorted by the upper bits of their hashes: TABLE entries at most."""
+    bits: int
+    upper: np.ndarray
+    n: np.ndarray
+
+    def of(self, h: np.ndarray) -> np.ndarray:
+        if not len(self.upper):
+            return np.zeros(len(h), np.uint32)
+        x = h >> np.uint64(64 - self.bits)
+        i = np.minimum(np.searchsorted(self.upper, x), len(self.upper) - 1)
+        return np.where(self.upper[i] == x, self.n[i], 0).astype(np.uint32)
+
+
+def _low(x: np.ndarray) -> bytes:
+    """The low LOW bytes of each number."""
+    return x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :LOW].tobytes()
+
+
+def _wide(raws: list[bytes]) -> np.ndarray:
+    b = np.frombuffer(b"".join(raws), np.uint8).reshape(-1, LOW)
+    return np.concatenate([b, np.zeros((len(b), 8 - LOW), np.uint8)], 1).view("<u8").reshape(-1)
+
+
+def common(docs: DataFrame, rule: Rule) -> Counts:
     total = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    bits = max(0, min(24, (total // 6 // PER_BUCKET).bit_length()))
+    bits = max(8, min(64 - 8 * LOW, (total // 6 // PER_BUCKET).bit_length()))
+    low = np.uint64(8 * LOW)
 
     def count(batches):
         for batch in (whole.slice(at, 4000) for whole in batches for at in range(0, whole.num_rows, 4000)):
             _, h = shingles(_raws(batch.column(0)), rule.words)
-            h, n = np.unique(h, return_counts=True)
-            bucket = (h >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(h), np.int64)
+            h, n = np.unique(h >> np.uint64(64 - bits - 8 * LOW), return_counts=True)
+            bucket = (h >> low).astype(np.int64)
             cut = np.flatnonzero(np.diff(bucket)) + 1
-            lone = [(int(k[0]) if len(k) else 0, x[c == 1].tobytes(), x[c > 1].tobytes(), c[c > 1].astype("<u4").tobytes()) for k, x, c in zip(np.split(bucket, cut), np.split(h, cut), np.split(n, cut)) if len(x)]
+            lone = [(int(k[0]), _low(x[c == 1]), _low(x[c > 1]), c[c > 1].astype("<u4").tobytes()) for k, x, c in zip(np.split(bucket, cut), np.split(h, cut), np.split(n, cut)) if len(x)]
             if lone:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*lone), (pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["bucket", "lone", "more", "counts"])
 
     def add(rows: pa.Table) -> pa.Table:
-        lone, more, counts = (np.frombuffer(b"".join(rows.column(c).to_pylist()), t) for c, t in (("lone", "<u8"), ("more", "<u8"), ("counts", "<u4")))
+        lone, more = (_wide(rows.column(c).to_pylist()) for c in ("lone", "more"))
+        counts = np.frombuffer(b"".join(rows.column("counts").to_pylist()), "<u4")
         h, inv = np.unique(np.concatenate([lone, more]), return_inverse=True)
         n = np.bincount(inv, np.concatenate([np.ones(len(lone)), counts]), len(h)).astype(np.int64)
-        return pa.table({"h": h[n >= RARE].view(np.int64), "n": n[n >= RARE]})
+        keep_ = n >= RARE
+        upper = np.uint64(rows.column("bucket")[0].as_py()) << low | h[keep_]
+        return pa.table({"h": upper.view(np.int64), "n": n[keep_]})
 
     counted = materialize(docs.select("text").mapInArrow(bh.lean(count), "bucket int, lone binary, more binary, counts binary").groupBy("bucket").applyInArrow(add, "h long, n long"), "counts")
     sizes = sorted((r.k, r.m) for r in counted.groupBy(F.floor(F.log2("n")).alias("k")).agg(F.count(F.lit(1)).alias("m")).collect())
@@ -109,26 +142,24 @@ def common(docs: DataFrame, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     while sum(m for k, m in sizes if 1 << k >= least) > TABLE:
         least *= 2
     rows = counted.filter(F.col("n") >= least).toArrow()
+    release(counted)
     h, n = rows.column("h").to_numpy().view(np.uint64), rows.column("n").to_numpy()
     order = np.argsort(h)
-    return h[order], n[order].astype(np.uint32)
+    return Counts(bits + 8 * LOW, h[order], n[order].astype(np.uint32))
 
 
-def signatures(docs: DataFrame, rule: Rule, known: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+def signatures(docs: DataFrame, rule: Rule, known: Counts) -> DataFrame:
     """okey, n, two hashes of the set, the prefix (rarest first), and counts of 16 hash ranges."""
     held = docs.sparkSession.sparkContext.broadcast(known)
 
     def task(batches):
-        th, tn = held.value
+        counts = held.value
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
                 m = batch.num_rows
                 d, h = shingles(_raws(batch.column(1)), rule.words)
-                df = np.zeros(len(h), np.uint32)
-                if len(th):
-                    i = np.minimum(np.searchsorted(th, h), len(th) - 1)
-                    df = np.where(th[i] == h, tn[i], 0).astype(np.uint32)
+                df = counts.of(h)
                 n = np.bincount(d, minlength=m)
                 begin = np.cumsum(n) - n
                 with np.errstate(over="ignore"):
@@ -185,54 +216,103 @@ def _filters(rule: Rule, x: str, y: str) -> str:
             f"1 + least({x}.n - {x}.pos, {y}.n - {y}.pos) - 1 >= {_alpha(rule, x + '.n', y + '.n')}")
 
 
+def _shared(left: list[bytes], right: list[bytes], rule: Rule) -> tuple[np.ndarray, np.ndarray]:
+    """Sizes of the intersection and of the union of the sets of left[i] and right[i]."""
+    d, h = (np.concatenate(c) for c in zip(shingles(left, rule.words), shingles(right, rule.words)))
+    order = np.lexsort((h, d))
+    d, h = d[order], h[order]
+    both = np.bincount(d[1:][(d[1:] == d[:-1]) & (h[1:] == h[:-1])], minlength=len(left))
+    return both, np.bincount(d, minlength=len(left)) - both
+
+
 def verified(pairs: DataFrame, docs: DataFrame, rule: Rule) -> DataFrame:
-    """The pairs that link. The sets of the documents in them come from the texts again; a list
-    of at most SMALL ids is broadcast for that, a longer one is joined."""
+    """The pairs that link. The texts of the documents in them travel compressed, a third of
+    what their sets would take; a list of at most SMALL ids is broadcast to find them, a longer
+    one is joined."""
     ids = cut(pairs.select(F.col("a").alias("okey")).union(pairs.select(F.col("b").alias("okey"))).distinct(), "ids")
     wanted = docs.join(F.broadcast(ids) if ids.count() <= SMALL else ids, "okey", "left_semi")
 
-    def task(batches):
+    def pack(batches):
+        press = zstandard.ZstdCompressor(level=3).compress
         for whole in batches:
             for at in range(0, whole.num_rows, 1000):
                 batch = whole.slice(at, 1000)
-                d, h = shingles(_raws(batch.column(1)), rule.words)
-                ends = np.searchsorted(d, np.arange(batch.num_rows + 1)).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(h.view(np.int64)))], names=["okey", "set"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([press(r) for r in _raws(batch.column(1))], pa.binary())], names=["okey", "z"])
+
+    def test(batches):
+        unpack = zstandard.ZstdDecompressor().decompress
+        for batch in batches:
+            a, b = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            left, right, first, size = [], [], 0, 0
+            for i in range(len(a)):
+                left.append(unpack(batch.column(2)[i].as_py()))
+                right.append(unpack(batch.column(3)[i].as_py()))
+                size += len(left[-1]) + len(right[-1])
+                if size >= SLICE or i == len(a) - 1:
+                    both, any_ = _shared(left, right, rule)
+                    ok = first + np.flatnonzero(rule.den * both >= rule.num * any_)
+                    yield pa.RecordBatch.from_arrays([pa.array(a[ok]), pa.array(b[ok])], names=["a", "b"])
+                    left, right, first, size = [], [], i + 1, 0
+
+    texts = keep(wanted.mapInArrow(bh.lean(pack), "okey long, z binary"))
+    both = pairs.join(texts.select(F.col("okey").alias("a"), F.col("z").alias("za")), "a").join(texts.select(F.col("okey").alias("b"), F.col("z").alias("zb")), "b")
+    # several texts of one doc_id are one node
+    return both.select("a", "b", "za", "zb").mapInArrow(bh.lean(test), "a long, b long").distinct()
+
+
+def _blocks(docs: DataFrame, rule: Rule) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Signatures of all rows; the classes of equal sets (rep is the least okey); their prefixes
+    as rows (shingle, rep, n, pos), those that stand in one class alone left out."""
+    sig = materialize(signatures(docs, rule, common(docs, rule)), "signatures")
+    wide = keep(sig.filter("n > 0").groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")))
+    rows = wide.select("rep", "n", F.posexplode("prefix").alias("pos", "shingle"))
+    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle")
+    rows = materialize(rows.join(shared, "shingle"), "blocks")
+    classes = materialize(wide.drop("prefix"), "classes")
+    release(wide)
+    return sig, classes, rows
+
 
-    sets = keep(wanted.mapInArrow(bh.lean(task), "okey long, set array<long>"))
-    both = pairs.join(sets.select(F.col("okey").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("okey").alias("b"), F.col("set").alias("sb")), "b")
-    both = both.withColumn("i", F.size(F.array_intersect("sa", "sb")))
-    return both.filter(f"{rule.den} * i >= {rule.num} * (size(sa) + size(sb) - i)").select("a", "b").distinct()
+def _meetings(rows: DataFrame, rule: Rule, apart: str = "true") -> DataFrame:
+    """Pairs of classes that share a prefix shingle and pass the length and positional filters."""
+    x, y = rows.alias("x"), rows.alias("y")
+    return x.join(y, F.expr(f"x.shingle = y.shingle AND x.rep < y.rep AND {apart} AND {_filters(rule, 'x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
+
+
+def links(docs: DataFrame, rule: Rule = Rule()) -> tuple[DataFrame, DataFrame]:
+    """The join itself: links (a, b) between the representatives of all classes of equal sets,
+    none left out, and the membership (okey, n_shingles, rep) of docs(okey, text). A link of two
+    documents is a link of their representatives, or they have the same one."""
+    sig, classes, rows = _blocks(docs, rule)
+    found = verified(cut(_survivors(_meetings(rows, rule), classes, rule), "pairs"), docs, rule)
+    members = sig.filter("n > 0").join(classes.select("s1", "s2", "rep"), ["s1", "s2"]).select("okey", F.col("n").alias("n_shingles"), "rep")
+    return found, members.union(sig.filter("n = 0").select("okey", "n", "okey"))
 
 
 def components(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """okey, n_shingles, component (an okey) of docs(okey, text)."""
-    sig = materialize(signatures(docs, rule, common(docs, rule)), "signatures")
-    filled = sig.filter("n > 0")
-    classes = keep(filled.groupBy("s1", "s2").agg(F.min("okey").alias("rep"), F.first("n").alias("n"), F.first("h1").alias("h1"), F.first("h2").alias("h2"), F.first("prefix").alias("prefix")))
-    rows = classes.select("rep", "n", F.posexplode("prefix").alias("pos", "shingle"))
-    shared = rows.groupBy("shingle").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("shingle")
-    rows = materialize(rows.join(shared, "shingle"), "blocks")
+    sig, classes, rows = _blocks(docs, rule)
 
     # stars first
     grade = F.floor(F.log(F.col("n")) / float(np.log(rule.den / rule.num))).cast("int")
-    links = cut(verified(cut(_survivors(_stars(rows.withColumn("grade", grade), rule), classes, rule), "stars"), docs, rule), "links")
-    part = connected_components(links)
+    tried = cut(_survivors(_stars(rows.withColumn("grade", grade), rule), classes, rule), "stars")
+    near = cut(verified(tried, docs, rule), "links")
+    part = connected_components(near)
 
     # what is left: pairs of different components, in blocks that hold several
     held = rows.join(part.withColumnRenamed("id", "rep"), "rep", "left").select("shingle", "rep", "n", "pos", F.coalesce("component", "rep").alias("part"))
     mixed = held.groupBy("shingle").agg(F.min("part").alias("p"), F.max("part").alias("q")).filter("p <> q").select("shingle")
     rest = cut(held.join(mixed, "shingle"), "rest")
     release(rows)
-    x, y = rest.alias("x"), rest.alias("y")
-    more = x.join(y, F.expr(f"x.shingle = y.shingle AND x.rep < y.rep AND x.part <> y.part AND {_filters(rule, 'x', 'y')}")).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct()
-    found = cut(verified(cut(_survivors(more, classes, rule), "pairs"), docs, rule), "links")
+    more = cut(_survivors(_meetings(rest, rule, "x.part <> y.part"), classes, rule).join(tried, ["a", "b"], "left_anti"), "pairs")
     release(rest)
-    whole = connected_components(links.union(found))
+    found = cut(verified(more, docs, rule), "links")
+    release(tried, more)
+    whole = connected_components(near.union(found))
 
     # a node is a class's first okey; a node of its own where there is no shingle
     place = classes.select("s1", "s2", "rep").join(whole.withColumnRenamed("id", "rep"), "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
-    linked = filled.select("okey", "n", "s1", "s2").join(place, ["s1", "s2"]).select("okey", F.col("n").alias("n_shingles"), "component")
+    linked = sig.filter("n > 0").select("okey", "n", "s1", "s2").join(place, ["s1", "s2"]).select("okey", F.col("n").alias("n_shingles"), "component")
     return linked.union(sig.filter("n = 0").select("okey", "n", "okey"))
 
 
@@ -243,10 +323,10 @@ def keyed(docs: DataFrame) -> DataFrame:
 def first_of_groups(docs: DataFrame, rule: Rule = Rule(5, 80, 100)) -> DataFrame:
     """docs without the near duplicates of an earlier document: of each component the row with
     the smallest doc_id stays (all rows of that doc_id)."""
-    parts = components(keyed(docs), rule).filter("okey <> component").select(F.col("okey").alias("_okey")).distinct()
-    parts = keep(parts)
-    key = docs.withColumn("_okey", F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)))
-    return key.join(F.broadcast(parts) if parts.count() <= SMALL else parts, "_okey", "left_anti").drop("_okey")
+    key = free_name(docs, "okey")
+    parts = keep(components(keyed(docs), rule).filter("okey <> component").select(F.col("okey").alias(key)).distinct())
+    rows = docs.withColumn(key, F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)))
+    return rows.join(F.broadcast(parts) if parts.count() <= SMALL else parts, key, "left_anti").drop(key)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

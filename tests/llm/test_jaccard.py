@@ -80,6 +80,28 @@ def test_edge_cases(docs):
     assert sorted((r.okey, r.n_shingles, r.component) for r in rows) == [(op.NULL, 2, op.NULL), (3, 2, op.NULL), (3, 2, op.NULL), (4, 0, 4)]
 
 
+def test_links_are_all_there(docs, words):
+    base = words(120, 1)
+    rows = list(enumerate([edit(base, i % 5, i) for i in range(60)] + [words(40, i) for i in range(2, 20)] + [base, base]))
+    found, members = op.links(op.keyed(docs(rows)))
+    rep = {r.okey: r.rep for r in members.collect()}
+    pairs = {(r.a, r.b) for r in found.collect()}
+    sets = {i: {tuple(t.split()[j:j + 3]) for j in range(len(t.split()) - 2)} for i, t in rows}
+    for a, b in combinations(sorted(sets), 2):
+        linked = 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])
+        p, q = sorted((rep[a], rep[b]))
+        assert linked == (p == q or (p, q) in pairs)
+
+
+def test_long_text_and_helper_names(docs, words):
+    t = words(60_000, 3)
+    rows = [(1, t), (2, edit(t, 900, 1)), (3, edit(t, 9000, 2)), (4, t + " end")]
+    assert got(docs(rows)) == brute(rows)
+    df = docs([(1, words(30, 1)), (2, words(30, 1))]).selectExpr("*", "1 AS _okey", "2 AS _OKEY_")
+    out = op.first_of_groups(df)
+    assert out.columns == df.columns and [r.doc_id for r in out.collect()] == [1]
+
+
 def test_first_of_groups(docs, words):
     t = words(200, 1)
     df = docs([(5, t), (2, edit(t, 1, 1)), (9, words(50, 2)), (1, None), (7, t.upper())], extra=True)
