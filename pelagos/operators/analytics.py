@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from pelagos.functions import scoring
 from pelagos.functions.geo import iou
-from pelagos.operators.spatial import box_pairs
+from pelagos.operators.spatial import box_pairs, quantiles
+from pelagos.session import materialize
 
 
 def size_class(length: str) -> Column:
@@ -78,7 +79,8 @@ def percent_errors(df: DataFrame, truth: str, pred: str) -> DataFrame:
 
 def average_precision(boxes: DataFrame, threshold: float, side: float) -> DataFrame:
     """AP at an IoU: a prediction, best first, is right if it is the best of its truth. Boxes are
-    squares about (x, y). One window orders all predictions by score: (score, hit) pairs only."""
+    squares about (x, y). Ranks come from a sort in many tasks: each sorted partition counts on
+    from the sums of those before."""
     b = boxes.selectExpr("id", "scene_id", "is_gt", "score", *[f"{c} {s} {side / 2} AS {n}" for n, c, s in (("bbox_x1", "x", "-"), ("bbox_y1", "y", "-"), ("bbox_x2", "x", "+"), ("bbox_y2", "y", "+"))])
     box = ("bbox_x1", "bbox_y1", "bbox_x2", "bbox_y2")
     both = box_pairs(b, "id", (F.col("is_gt_a") != F.col("is_gt_b")) & (iou(*[c + "_a" for c in box], *[c + "_b" for c in box]) >= threshold), also=("scene_id",))
@@ -86,17 +88,20 @@ def average_precision(boxes: DataFrame, threshold: float, side: float) -> DataFr
     pair = both.select(F.when(one, F.col("id_a")).otherwise(F.col("id_b")).alias("gt"), F.when(one, F.col("id_b")).otherwise(F.col("id_a")).alias("id"), F.when(one, F.col("score_b")).otherwise(F.col("score_a")).alias("s"))
     right = pair.groupBy("gt").agg(F.min_by("id", F.struct(-F.col("s"), "id")).alias("id")).select("id").distinct().withColumn("hit", F.lit(1))
     ranked = b.filter("is_gt = 0").join(right, "id", "left").select("score", "id", F.coalesce("hit", F.lit(0)).alias("hit"))
-    w = Window.orderBy(F.desc("score"), "id")
-    run = ranked.withColumn("tp", F.sum("hit").over(w)).withColumn("n", F.row_number().over(w)).filter("hit = 1")
+    order = materialize(ranked.orderBy(F.desc("score"), "id").select("hit", F.monotonically_increasing_id().alias("m")), "ranked").withColumn("p", F.shiftright("m", 33))
+    ahead = Window.orderBy("p")  # one row for each partition of the sort
+    sums = order.groupBy("p").agg(F.count(F.lit(1)).alias("k"), F.sum("hit").alias("h"))
+    sums = sums.select("p", (F.sum("k").over(ahead) - F.col("k")).alias("n0"), (F.sum("h").over(ahead) - F.col("h")).alias("tp0"))
+    w = Window.partitionBy("p").orderBy("m")
+    run = order.withColumn("tp1", F.sum("hit").over(w)).withColumn("n1", F.row_number().over(w)).filter("hit = 1").join(F.broadcast(sums), "p")
+    run = run.select((F.col("tp0") + F.col("tp1")).alias("tp"), (F.col("n0") + F.col("n1")).alias("n"))
     total = b.filter("is_gt = 1").agg(F.count(F.lit(1)).alias("total"))
     return run.agg(F.sum(F.col("tp") / F.col("n")).alias("s")).join(F.broadcast(total)).select(F.round(F.coalesce("s", F.lit(0.0)) / F.col("total"), 6).alias("average_precision"))
 
 
 def mask_statistics(cells: DataFrame) -> DataFrame:
-    positive = F.when(F.col("vv") > 0, F.col("vv"))
-    p = F.percentile(positive, F.array(F.lit(0.01), F.lit(0.25), F.lit(0.99)))
-    return cells.agg(p.alias("p"), F.round(100.0 * F.avg(F.when(F.col("vv") == 0, 1.0).otherwise(0.0)), 6).alias("zero_pct"), F.round(100.0 * F.avg("water"), 6).alias("water_pct")).select(
-        *[F.col("p")[i].alias(n) for i, n in enumerate(("p1", "p25", "p99"))], "zero_pct", "water_pct")
+    p = quantiles(cells.filter("vv > 0"), "vv", [0.01, 0.25, 0.99])
+    return cells.agg(*[F.lit(v).cast("double").alias(n) for n, v in zip(("p1", "p25", "p99"), p)], F.round(100.0 * F.avg(F.when(F.col("vv") == 0, 1.0).otherwise(0.0)), 6).alias("zero_pct"), F.round(100.0 * F.avg("water"), 6).alias("water_pct"))
 
 
 def sampling_weights(df: DataFrame, foreground: str, fraction: float) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pelagos.operators.spatial import quantiles
+
 
 def coverage(windows: DataFrame, cells: DataFrame, size: Column | int, cell: int = 1) -> DataFrame:
     """Water share of each window (row, col): cells meet windows on blocks of the grid, not by a
@@ -31,10 +33,11 @@ def near_land(points: DataFrame, cells: DataFrame, radius: int, share: float = 0
 
 def water_mask(cells: DataFrame, zero_share: float = 0.3) -> DataFrame:
     """Water where a band is 0 if over 30 % of them are; else where both bands are below the lower
-    quartile of their positive values. The two statistics are one row."""
-    q = lambda c: F.percentile(F.when(F.col(c) > 0, F.col(c)), 0.25)
-    s = cells.agg(F.avg(F.when(F.col("vv") == 0, 1.0).otherwise(0.0)).alias("_z"), q("vv").alias("_qv"), q("vh").alias("_qh"))
-    return cells.join(F.broadcast(s)).withColumn("is_water", F.when(F.col("_z") > zero_share, F.col("vv") == 0).otherwise((F.col("vv") < F.col("_qv")) & (F.col("vh") < F.col("_qh")))).drop("_z", "_qv", "_qh")
+    quartile of their positive values."""
+    if (cells.agg(F.avg(F.when(F.col("vv") == 0, 1.0).otherwise(0.0))).first()[0] or 0.0) > zero_share:
+        return cells.withColumn("is_water", F.col("vv") == 0)
+    v, h = (quantiles(cells.filter(f"{c} > 0"), c, [0.25])[0] for c in ("vv", "vh"))
+    return cells.withColumn("is_water", (F.col("vv") < F.lit(v).cast("double")) & (F.col("vh") < F.lit(h).cast("double")))
 
 
 def masked(cells: DataFrame) -> DataFrame:

@@ -3,6 +3,9 @@ cells with an exact residual, so no side is broadcast unchecked and no cross pro
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -57,26 +60,28 @@ def box_pairs(df: DataFrame, key: str, condition: Column, side: int = 128, box=(
     return a.join(b, on & first & condition)
 
 
-def avoid_filter(det: DataFrame, avoid: DataFrame, strict: bool = False, limit: int = 100_000) -> DataFrame:
+def avoid_filter(det: DataFrame, avoid: DataFrame, strict: bool = False) -> DataFrame:
     """Range anti join: detections in the square of no location stay; null coordinates stay.
-    compat takes the cosine of degrees, so some squares are empty. The list of locations is
-    broadcast while it has at most `limit` rows; a longer one meets detections on one-degree cells."""
+    compat takes the cosine of degrees, so some squares are empty. Squares and detections meet on
+    one-degree cells."""
     from pelagos.functions.geo import square_bounds
 
     locations = avoid.select(*[v.alias("_" + k) for k, v in square_bounds("alat", "alon", "width_m", strict).items()])
     inside = F.col("lat").between(F.col("_min_lat"), F.col("_max_lat")) & F.col("lon").between(F.col("_min_lon"), F.col("_max_lon"))
-    if locations.limit(limit + 1).count() <= limit:
-        return det.join(F.broadcast(locations), inside, "left_anti")
     full = locations.filter("_min_lat <= _max_lat AND _min_lon <= _max_lon")
     cells = full.withColumn("_cy", F.explode(F.sequence(F.floor("_min_lat"), F.floor("_max_lat")))).withColumn("_cx", F.explode(F.sequence(F.floor("_min_lon"), F.floor("_max_lon"))))
     return det.join(cells, (F.floor("lat") == F.col("_cy")) & (F.floor("lon") == F.col("_cx")) & inside, "left_anti")
 
 
-def nearest_point(points: DataFrame, to: DataFrame, distance: Column, key: str) -> DataFrame:
-    """Least distance of each point to a fixed small set (a coast line): at most 10 000 points."""
-    if to.limit(10_001).count() > 10_000:
-        raise ValueError("nearest_point takes at most 10 000 targets; use cell_join")
-    return points.join(F.broadcast(to)).groupBy(key).agg(F.min(distance).alias("min_distance"))
+def nearest_point(points: DataFrame, to: DataFrame, distance: Column, key: str, block: int = 10_000) -> DataFrame:
+    """Least distance of each point to a fixed set (a coast line). The set is broadcast in blocks
+    of at most `block` targets, and each block's minima are combined before the shuffle."""
+    to = to.distinct()
+    parts = -(-to.count() // block)
+    slot = F.pmod(F.xxhash64(*to.columns), F.lit(2 * parts))  # twice as many as needed, so that none goes over
+    some = [to] if parts <= 1 else [to.filter(slot == i) for i in range(2 * parts)]
+    best = [points.join(F.broadcast(t)).groupBy(key).agg(F.min(distance).alias("min_distance")) for t in some]
+    return reduce(DataFrame.unionByName, best).groupBy(key).agg(F.min("min_distance").alias("min_distance"))
 
 
 def grid_index(df: DataFrame, x: tuple[str, str], y: tuple[str, str], side: int) -> DataFrame:
@@ -98,21 +103,29 @@ def all_pairs(df: DataFrame, key: str, blocks: int = 16) -> DataFrame:
     return a.join(b, (F.col("_s_a") == F.col("_t_b")) & (F.col("_t_a") == F.col("_s_b")) & (F.col(key + "_a") < F.col(key + "_b")))
 
 
-def median(df: DataFrame, col: str, n: int, lo: float, hi: float, bins: int = 1024, few: int = 100_000) -> float | None:
-    """Exact median of n values in lo .. hi: bins are counted and the one that holds the middle is
-    narrowed until it is small, so values are neither sorted nor gathered as a whole."""
+def quantiles(df: DataFrame, col: str, probs: list[float], bins: int = 1024, few: int = 10_000) -> list[float | None]:
+    """Exact quantiles (linear between neighbours) of the values that aren't null: bins are counted,
+    and those that hold a wanted rank are narrowed until they are small, so values are neither
+    sorted nor gathered as a whole."""
+    rows = df.select(F.col(col).cast("double").alias("v")).filter("v IS NOT NULL")
+    n, lo, hi = rows.agg(F.count(F.lit(1)), F.min("v"), F.max("v")).first()
     if not n:
-        return None
-
-    def at(rank: int) -> float:
-        rows, low, high, size = df.select(col), lo, hi, n
-        while size > few and low < high:
-            bin_ = F.least(F.greatest(F.floor((F.col(col) - low) / ((high - low) / bins)), F.lit(0)), F.lit(bins - 1))
-            for r in sorted(rows.groupBy(bin_.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).collect()):
-                if rank < r.n:
-                    rows, low, high, size = rows.filter(bin_ == r.k), r.lo, r.hi, r.n
-                    break
-                rank -= r.n
-        return low if low == high else sorted(r[0] for r in rows.collect())[rank]
-
-    return (at((n - 1) // 2) + at(n // 2)) / 2 if n % 2 == 0 else at(n // 2)
+        return [None] * len(probs)
+    places = [(n - 1) * p for p in probs]
+    found: dict[int, float] = {}
+    todo = [(rows, lo, hi, n, {k: k for at in places for k in (math.floor(at), math.ceil(at))})]  # wanted rank: rank in rows
+    while todo:
+        part, low, high, size, ranks = todo.pop()
+        if low == high:
+            found |= dict.fromkeys(ranks, low)
+        elif size <= few:
+            values = sorted(r[0] for r in part.collect())
+            found |= {k: values[i] for k, i in ranks.items()}
+        else:
+            bin_ = F.least(F.greatest(F.floor((F.col("v") - low) / ((high - low) / bins)), F.lit(0)), F.lit(bins - 1))
+            before = 0
+            for r in sorted(part.groupBy(bin_.alias("k")).agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi")).collect()):
+                if inside := {k: i - before for k, i in ranks.items() if before <= i < before + r.n}:
+                    todo.append((part.filter(bin_ == r.k), r.lo, r.hi, r.n, inside))
+                before += r.n
+    return [found[math.floor(at)] + (at - math.floor(at)) * (found[math.ceil(at)] - found[math.floor(at)]) for at in places]

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from pelagos.functions import scoring
 from pelagos.operators import analytics as N
 from pelagos.operators import correlate as K
 from pelagos.plans.adapters import T_US, cte, view
@@ -95,14 +94,14 @@ _F1 = "CASE WHEN tp = 0 THEN 0e0 ELSE CASE WHEN tp / CAST(tp + fp AS DOUBLE) + t
 
 
 @query("a20_p24_threshold_sweep", _CM + f" SELECT thr, tp, fp, fn, tn, round({_F1}, 6) AS f1 FROM c")
-def sweep(spark, d, boxes="boxes"):
-    s = N.threshold_sweep(view(spark, d, boxes), [i / 16 for i in range(1, 16)])
+def sweep(spark, d):
+    s = N.threshold_sweep(view(spark, d, "boxes"), [i / 16 for i in range(1, 16)])
     return s.select("thr", "tp", "fp", "fn", "tn", F.round("f1", 6).alias("f1"))
 
 
 @query("a23_best_threshold", _CM + f" SELECT thr, round({_F1}, 6) AS f1 FROM c ORDER BY {_F1} DESC, thr LIMIT 1")
-def best(spark, d, boxes="boxes"):
-    return N.best_threshold(N.threshold_sweep(view(spark, d, boxes), [i / 16 for i in range(1, 16)])).select("thr", F.round("f1", 6).alias("f1"))
+def best(spark, d):
+    return N.best_threshold(N.threshold_sweep(view(spark, d, "boxes"), [i / 16 for i in range(1, 16)])).select("thr", F.round("f1", 6).alias("f1"))
 
 
 @query("a21_histograms", D + """, h AS (SELECT 'confidence' AS what, CASE WHEN confidence = 1 THEN 20 ELSE CAST(floor(confidence / 0.05e0) AS BIGINT) + 1 END AS bin FROM det WHERE confidence BETWEEN 0 AND 1
@@ -114,18 +113,21 @@ def histograms(spark, d):
 
 @query("a22_a25_errors", BX + """, e AS (SELECT score AS p, x / 400e0 AS y, is_gt FROM boxes) SELECT round(avg(abs(p - y)), 6) AS mae, round(avg(power(p - y, 2)), 6) AS mse, round(-avg(power(p - y, 2)), 6) AS mse_score,
  round(avg(-ln(greatest(CASE WHEN is_gt = 1 THEN p ELSE 1e0 - p END, 1e-6))), 6) AS cross_entropy, round(avg(CASE WHEN (p > 0.5e0) = (is_gt = 1) THEN 1e0 ELSE 0e0 END), 6) AS accuracy FROM e""")
-def errors(spark, d, boxes="boxes"):
-    return N.error_metrics(view(spark, d, boxes).select(F.col("score").alias("p"), (F.col("x") / 400.0).alias("y"), "is_gt"))
+def errors(spark, d):
+    return N.error_metrics(view(spark, d, "boxes").select(F.col("score").alias("p"), (F.col("x") / 400.0).alias("y"), "is_gt"))
 
 
-@query("a26_mean_average_precision")
+@query("a26_mean_average_precision", BX + """, o AS (SELECT g.id AS gt, p.id, p.score, greatest(24e0 - abs(g.x - p.x), 0e0) * greatest(24e0 - abs(g.y - p.y), 0e0) AS i FROM boxes g JOIN boxes p ON g.scene_id = p.scene_id WHERE g.is_gt = 1 AND p.is_gt = 0),
+b AS (SELECT DISTINCT id FROM (SELECT id, row_number() OVER (PARTITION BY gt ORDER BY score DESC, id) AS rn FROM o WHERE i / (1152e0 - i) >= 0.5e0) x WHERE rn = 1),
+w AS (SELECT CASE WHEN b.id IS NULL THEN 0 ELSE 1 END AS hit, row_number() OVER (ORDER BY score DESC, p.id) AS n, sum(CASE WHEN b.id IS NULL THEN 0 ELSE 1 END) OVER (ORDER BY score DESC, p.id) AS tp FROM boxes p LEFT JOIN b ON b.id = p.id WHERE is_gt = 0)
+SELECT round(coalesce(sum(tp / CAST(n AS DOUBLE)), 0e0) / (SELECT count(*) FROM boxes WHERE is_gt = 1), 6) AS average_precision FROM w WHERE hit = 1""")
 def mean_ap(spark, d):
-    return N.average_precision(view(spark, d, "boxes_all"), 0.5, 24.0)
+    return N.average_precision(view(spark, d, "boxes"), 0.5, 24.0)
 
 
 @query("a27_p25_percent_error", BX + """, e AS (SELECT abs(x - y) AS d, least(x, y) AS lo, greatest(x, y) AS hi, x, y FROM boxes WHERE x > 0 AND y > 0) SELECT round(1e0 - avg(least(d / hi, 1e0)), 6) AS size_score, round(avg(d / x), 6) AS normalised, round(1e0 - avg(least(least(d, 360e0 - d), 180e0)) / 180e0, 6) AS degree_score FROM e""")
-def percent(spark, d, boxes="boxes"):
-    return N.percent_errors(view(spark, d, boxes).filter("x > 0 AND y > 0"), "x", "y")
+def percent(spark, d):
+    return N.percent_errors(view(spark, d, "boxes").filter("x > 0 AND y > 0"), "x", "y")
 
 
 @query("a29_weighted_mean", D + "SELECT scene_id, round(sum(lat * confidence) / sum(confidence), 6) AS lat, round(sum(lon * confidence) / sum(confidence), 6) AS lon FROM det GROUP BY scene_id")
@@ -134,13 +136,13 @@ def weighted(spark, d):
 
 
 @query("a30_a31_mask_statistics", cte("duck", "cells") + "SELECT quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.01) AS p1, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.25) AS p25, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.99) AS p99, round(100e0 * avg(CASE WHEN vv = 0 THEN 1e0 ELSE 0e0 END), 6) AS zero_pct, round(100e0 * avg(CAST(water AS DOUBLE)), 6) AS water_pct FROM cells")
-def mask_stats(spark, d, cells="cells"):
-    return N.mask_statistics(view(spark, d, cells))
+def mask_stats(spark, d):
+    return N.mask_statistics(view(spark, d, "cells"))
 
 
 @query("a32_sampling_weights", BX + ", c AS (SELECT sum(is_gt) AS fg, count(*) - sum(is_gt) AS bg FROM boxes) SELECT id, CASE WHEN is_gt = 1 THEN 1e0 ELSE round(0.25e0 * fg / bg, 9) END AS weight FROM boxes, c")
-def weights(spark, d, boxes="boxes"):
-    return N.sampling_weights(view(spark, d, boxes), "is_gt", 0.25).select("id", "weight")
+def weights(spark, d):
+    return N.sampling_weights(view(spark, d, "boxes"), "is_gt", 0.25).select("id", "weight")
 
 
 @query("a35_coverage_report", f"""WITH t AS ({TR} SELECT * FROM truth), q AS (SELECT DISTINCT matched_mmsi AS m FROM ({FLAGSHIP_SQL}) z WHERE matched_mmsi IS NOT NULL)
@@ -153,7 +155,7 @@ def coverage(spark, d):
 
 @query("w02_best_candidate", f"SELECT detect_id, distance_meters AS m FROM ({FLAGSHIP_SQL}) q WHERE distance_meters IS NOT NULL")
 def candidate(spark, d):
-    p = view(spark, d, "pred72").withColumn("minutes", F.col("gap_s") / 60).withColumn("uncertainty_m", F.lit(0.0))
+    p = K.predict(K.clean_reports(view(spark, d, "ais"), T_US, 72))
     return K.choose(K.scored(K.candidates(view(spark, d, "det"), p))).select("detect_id", F.round("distance_m", 4).alias("m"))
 
 
@@ -194,6 +196,3 @@ def centre(spark, d):
 @query("t05_t06_sorted_lists", cte("duck", "labels") + "SELECT window_id, list_sort(list(DISTINCT value)) AS vals, count(*) AS n FROM labels GROUP BY window_id HAVING count(*) > 6")
 def lists(spark, d):
     return view(spark, d, "labels").groupBy("window_id").agg(F.array_sort(F.collect_set("value")).alias("vals"), F.count(F.lit(1)).alias("n")).filter("n > 6")
-
-
-_ = scoring

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pelagos.operators import correlate as K
-from pelagos.plans import adapters as A
 from pelagos.plans.adapters import T_US, cte, hav, view
 from pelagos.plans.catalog import query
 
@@ -21,16 +20,23 @@ CASE WHEN vessel_type IS NULL THEN 0.5e0 WHEN vessel_type = 'fishing' THEN CASE
 exp(-(gap_s / 60e0) / 30e0) AS temporal_score"""
 
 
-def _pairs(h: int) -> str:
+_WEIGHTS = ("position", 0.25), ("heading", 0.15), ("size", 0.35), ("speed", 0.1), ("type", 0.1), ("temporal", 0.05)
+_V1 = ("position", 0.4), ("heading", 0.2), ("size", 0.2), ("speed", 0.1), ("type", 0.05), ("temporal", 0.05)
+_POSITION = "CASE WHEN d > 500e0 THEN 0e0 ELSE exp(-d / 200e0) END"
+_UNSURE = "300e0 + least(CASE WHEN vtype BETWEEN 30 AND 39 THEN 10e0 WHEN vtype BETWEEN 70 AND 79 THEN 30e0 WHEN vtype BETWEEN 50 AND 59 THEN 20e0 ELSE 15e0 END * gap_s / 60e0, 5000e0)"
+
+
+def _pairs(h: int, v1: bool = False) -> str:
+    scores = _SCORES.replace(_POSITION, f"exp(-d / ({_UNSURE} + 100e0) / 2e0)") if v1 else _SCORES
     return cte("duck", "det", f"pred{h}") + f""", p AS (SELECT detect_id, mmsi, confidence, vessel_length_m, len_f, gap_s, {hav('det.lat', 'det.lon', 'plat', 'plon')} AS d,
   heading_degrees, heading, p.sog AS sog, vessel_width_m, wid_f, vessel_speed_k, vessel_type, vtype FROM det JOIN pred{h} p ON abs(det.lat - plat) < 0.1e0 AND abs(det.lon - plon) < 0.1e0),
-g AS (SELECT *, {_SCORES} FROM p WHERE d <= least(least(400e0 + 10e0 * gap_s / 60e0, 800e0), 2000e0)),
-s AS (SELECT *, position_score * 0.25e0 + heading_score * 0.15e0 + size_score * 0.35e0 + speed_score * 0.1e0 + type_score * 0.1e0 + temporal_score * 0.05e0 AS total FROM g)"""
+g AS (SELECT *, {scores} FROM p WHERE d <= least(least(400e0 + 10e0 * gap_s / 60e0, 800e0), 2000e0)),
+s AS (SELECT *, {" + ".join(f"{k}_score * {w}e0" for k, w in (_V1 if v1 else _WEIGHTS))} AS total FROM g)"""
 
 
-def _flagship(h: int) -> str:
+def _flagship(h: int, v1: bool = False) -> str:
     s6 = ", ".join(f"round(coalesce({k}_score, 0e0), 6) AS {k}_score" for k in ("position", "heading", "size", "speed", "type", "temporal"))
-    return _pairs(h) + f""", b AS (SELECT *, row_number() OVER (PARTITION BY detect_id ORDER BY CASE WHEN confidence < 0.6e0 THEN 0e0 ELSE total END DESC, mmsi) AS rn FROM s WHERE confidence < 0.6e0 OR total IS NOT NULL),
+    return _pairs(h, v1) + f""", b AS (SELECT *, row_number() OVER (PARTITION BY detect_id ORDER BY CASE WHEN confidence < 0.6e0 THEN 0e0 ELSE total END DESC, mmsi) AS rn FROM s WHERE confidence < 0.6e0 OR total IS NOT NULL),
 k AS (SELECT *, coalesce(least(total, 1e0) >= 0.5e0, false) AND NOT coalesce(vessel_length_m > 0 AND len_f > 0 AND greatest(vessel_length_m, len_f) / least(vessel_length_m, len_f) > 2, false) AND d <= 1000e0 AS ok FROM b WHERE rn = 1)
 SELECT det.detect_id, round(det.lat, 6) AS lat, round(det.lon, 6) AS lon, round(det.confidence, 6) AS confidence, CASE WHEN ok THEN mmsi END AS matched_mmsi,
   round(CASE WHEN ok THEN least(total, 1e0) ELSE 0e0 END, 6) AS match_confidence, round(gap_s / 60e0, 4) AS time_gap_minutes, round(d, 4) AS distance_meters, {s6},
@@ -52,7 +58,7 @@ def _run(hours, **kw):
 query("flagship_correlate_72h", _flagship(72))(_run(72))
 query("flagship_correlate_2h", _flagship(2))(_run(2))
 query("flagship_strict")(_run(72, mode="strict"))
-query("flagship_v1_constants")(_run(72, params="v1"))
+query("flagship_v1_constants", _flagship(72, v1=True))(_run(72, params="v1"))
 
 
 @query("j08_nearest_in_time", cte("duck", "clean72") + "SELECT mmsi, seq, us, vtype, round(gap_s, 6) AS gap_s FROM clean72")
@@ -66,21 +72,24 @@ def fill(spark, d):
 
 
 @query("m03_m06_predicted_positions", cte("duck", "pred72") + """SELECT mmsi, round(plat, 6) AS plat, round(plon, 6) AS plon,
- round(300e0 + least(CASE WHEN vtype BETWEEN 30 AND 39 THEN 10e0 WHEN vtype BETWEEN 70 AND 79 THEN 30e0 WHEN vtype BETWEEN 50 AND 59 THEN 20e0 ELSE 15e0 END * gap_s / 60e0, 5000e0), 4) AS uncertainty_m FROM pred72""")
+ round(""" + _UNSURE + ", 4) AS uncertainty_m FROM pred72")
 def predicted(spark, d):
     p = K.predict(K.clean_reports(view(spark, d, "ais"), T_US, 72))
     return p.select("mmsi", F.round("plat", 6).alias("plat"), F.round("plon", 6).alias("plon"), F.round("uncertainty_m", 4).alias("uncertainty_m"))
 
 
+def _reports(spark, d):
+    return K.predict(K.clean_reports(view(spark, d, "ais"), T_US, 72))
+
+
 @query("j01_radius_join", _pairs(72) + " SELECT detect_id, mmsi, round(d, 4) AS distance_m FROM g")
 def radius(spark, d):
-    return K.candidates(view(spark, d, "det"), view(spark, d, "pred72").withColumn("minutes", F.col("gap_s") / 60).withColumn("uncertainty_m", F.lit(0.0))).select("detect_id", "mmsi", F.round("distance_m", 4).alias("distance_m"))
+    return K.candidates(view(spark, d, "det"), _reports(spark, d)).select("detect_id", "mmsi", F.round("distance_m", 4).alias("distance_m"))
 
 
 @query("c01_c07_scores", _pairs(72) + " SELECT detect_id, mmsi, round(position_score, 6) AS position_score, round(heading_score, 6) AS heading_score, round(size_score, 6) AS size_score, round(speed_score, 6) AS speed_score, round(type_score, 6) AS type_score, round(temporal_score, 6) AS temporal_score, round(total, 6) AS total FROM s")
 def scores(spark, d):
-    p = view(spark, d, "pred72").withColumn("minutes", F.col("gap_s") / 60).withColumn("uncertainty_m", F.lit(0.0))
-    df = K.scored(K.candidates(view(spark, d, "det"), p))
+    df = K.scored(K.candidates(view(spark, d, "det"), _reports(spark, d)))
     cols = [k + "_score" for k in ("position", "heading", "size", "speed", "type", "temporal")] + ["total"]
     return df.select("detect_id", "mmsi", *[F.round(c, 6).alias(c) for c in cols])
 
@@ -123,4 +132,3 @@ def modes(spark, d):
 
 FLAGSHIP_SQL = _flagship(72)
 results = _run(72)
-_ = A

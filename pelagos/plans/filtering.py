@@ -56,9 +56,9 @@ def box(spark, d):
     return L.bounding_box(view(spark, d, "ais"), 36.2, 37.4, -76.8, -75.3).select("seq", "mmsi")
 
 
-@query("f10_bounds_from_data", D + ", x AS (SELECT * FROM det WHERE detect_id < 1000000), b AS (SELECT min(lat) - 0.01e0 AS a, max(lat) + 0.01e0 AS b, min(lon) - 0.01e0 AS c, max(lon) + 0.01e0 AS e FROM x), " + cte("duck", "ais").removeprefix("WITH ").replace("ais AS", "ais2 AS", 1) + "SELECT seq FROM ais2, b WHERE lat BETWEEN b.a AND b.b AND lon BETWEEN b.c AND b.e")
+@query("f10_bounds_from_data", D + ", b AS (SELECT min(lat) - 0.01e0 AS a, max(lat) + 0.01e0 AS b, min(lon) - 0.01e0 AS c, max(lon) + 0.01e0 AS e FROM det), " + cte("duck", "ais").removeprefix("WITH ").replace("ais AS", "ais2 AS", 1) + "SELECT seq FROM ais2, b WHERE lat BETWEEN b.a AND b.b AND lon BETWEEN b.c AND b.e")
 def data_bounds(spark, d):
-    return L.within_bounds_of(view(spark, d, "ais"), view(spark, d, "det").filter("detect_id < 1000000")).select("seq")
+    return L.within_bounds_of(view(spark, d, "ais"), view(spark, d, "det")).select("seq")
 
 
 @query("f11_f12_f16_regions", B + """SELECT detect_id, (bbox_x1 + bbox_x2) / 2e0 BETWEEN 200 AND 900 AND (bbox_y1 + bbox_y2) / 2e0 BETWEEN 100 AND 800 AS in_region, preprocess_column BETWEEN 202 AND 1200 AND preprocess_row BETWEEN 126 AND 1390 AS in_area,
@@ -104,8 +104,8 @@ def containment(spark, d):
 
 
 @query("f25_score_gate", cte("duck", "boxes") + "SELECT id FROM boxes WHERE score >= CASE id % 2 WHEN 0 THEN 0.4e0 ELSE 0.7e0 END")
-def gate(spark, d, boxes="boxes"):
-    return view(spark, d, boxes).filter(F.col("score") >= F.when(F.col("id") % 2 == 0, 0.4).otherwise(0.7)).select("id")
+def gate(spark, d):
+    return view(spark, d, "boxes").filter(F.col("score") >= F.when(F.col("id") % 2 == 0, 0.4).otherwise(0.7)).select("id")
 
 
 @query("f26_validation_report", D + """SELECT 'error' AS level, 'lat_range' AS rule, count(CASE WHEN lat NOT BETWEEN -90 AND 90 OR lat IS NULL THEN 1 END) AS violations FROM det

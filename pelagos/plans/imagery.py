@@ -11,8 +11,16 @@ from pelagos.plans.catalog import query
 C, B = cte("duck", "cells"), cte("duck", "detbox")
 
 
+#: Rows of the image of all cells, 64 at least.
+HEIGHT = "(SELECT greatest(max(cy) + 1, 64) FROM cells)"
+
+
+def tall(spark, d):
+    return max(64, view(spark, d, "cells").agg(F.coalesce(F.max("cy") + 1, F.lit(0))).first()[0])
+
+
 def _grid(h, w, size, step):
-    return f"SELECT r.v AS row, c.v AS col FROM (SELECT unnest(range(0, {h - size + 1}, {step})) AS v) r, (SELECT unnest(range(0, {w - size + 1}, {step})) AS v) c"
+    return f"SELECT r.v AS row, c.v AS col FROM (SELECT unnest(range(0, {h} - {size} + 1, {step})) AS v) r, (SELECT unnest(range(0, {w - size + 1}, {step})) AS v) c"
 
 
 query("v01_sliding", _grid(3000, 4000, 800, 750))(lambda spark, d: V.sliding(spark, 3000, 4000, 800, 750))
@@ -51,7 +59,11 @@ def vessel(spark, d):
 _REG = "SELECT * FROM (VALUES (1, 'large', 4000000, 0.9e0, 150e0, 500, 600, 3000, 2500), (2, 'medium', 900000, 0.6e0, 40e0, 4000, 200, 900, 1000), (3, 'small', 70000, 0.3e0, 5e0, 100, 5000, 200, 300)) AS t(region, kind, area, density, edge, x, y, w, h)"
 
 
-@query("v06_v09_region_windows")
+@query("v06_v09_region_windows", f"""WITH a AS ({_REG}), b AS (SELECT *, CASE kind WHEN 'large' THEN 2048 WHEN 'medium' THEN 1024 ELSE 512 END * ((1 + (density - 0.5e0) * 0.4e0) * (1 + least(edge / 200e0, 0.3e0)) * (1 + least((area - 1000000) / 1e7, 0.2e0))) AS want,
+ least(CASE kind WHEN 'large' THEN 0.05e0 WHEN 'medium' THEN 0.15e0 ELSE 0.25e0 END + ((1 - density) + (1 - least(edge / 100e0, 1e0))) * 0.1e0, 0.4e0) AS ratio FROM a), c AS (SELECT *, greatest(256, least(CAST(trunc(want) AS INTEGER), 4096)) AS size FROM b),
+ e AS (SELECT *, CAST(trunc(size * ratio) AS INTEGER) AS ov FROM c), r AS (SELECT *, unnest(range(greatest(0, y - ov), least(8000 - size, y + h + ov) + 1, size - ov)) AS row FROM e),
+ k AS (SELECT *, unnest(range(greatest(0, x - ov), least(7000 - size, x + w + ov) + 1, size - ov)) AS col FROM r)
+SELECT region, row, col, size, round(least(area / 9e6, 1e0) * 0.4e0 + density * 0.4e0 + least(edge / 100e0, 1e0) * 0.2e0, 6) AS priority FROM k""")
 def regions(spark, d):
     r = spark.sql(_REG)
     w = V.region_windows(r, 8000, 7000)
@@ -80,33 +92,33 @@ def layout(spark, d):
     return i.select("id", F.size(V.channel_layout((F.col("id") % 9).cast("int"), F.when(F.col("id") % 2 == 0, "sentinel1").otherwise("sentinel2"))).cast("long").alias("channels"))
 
 
-@query("f17_window_coverage", C + ", w AS (" + _grid(64, 64, 16, 12) + ") SELECT w.row, w.col, round(sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0, 6) AS water_share FROM w LEFT JOIN cells ON cy >= row AND cy < row + 16 AND cx >= col AND cx < col + 16 GROUP BY w.row, w.col HAVING sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0 >= 0.6e0")
-def cover(spark, d, cells="cells", height=64):
-    w = raster.coverage(V.sliding(spark, height, 64, 16, 12), view(spark, d, cells), 16)
+@query("f17_window_coverage", C + ", w AS (" + _grid(HEIGHT, 64, 16, 12) + ") SELECT w.row, w.col, round(sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0, 6) AS water_share FROM w LEFT JOIN cells ON cy >= row AND cy < row + 16 AND cx >= col AND cx < col + 16 GROUP BY w.row, w.col HAVING sum(CASE WHEN water = 1 THEN 1 ELSE 0 END) / 256e0 >= 0.6e0")
+def cover(spark, d):
+    w = raster.coverage(V.sliding(spark, tall(spark, d), 64, 16, 12), view(spark, d, "cells"), 16)
     return w.filter("water_share >= 0.6").select("row", "col", F.round("water_share", 6).alias("water_share"))
 
 
-@query("f15_j17_land_proximity", C + ", p AS (SELECT detect_id AS id, preprocess_column % 64 AS px, preprocess_row % 64 AS py FROM (" + B + "SELECT * FROM detbox) b) SELECT id FROM p JOIN cells ON cx >= px - 5 AND cx < px + 5 AND cy >= py - 5 AND cy < py + 5 GROUP BY id HAVING avg(water) >= 0.6e0 AND max(CASE WHEN cx = px AND cy = py THEN water END) = 1")
-def land(spark, d, cells="cells", height=64):
-    p = view(spark, d, "detbox").select(F.col("detect_id").alias("id"), (F.col("preprocess_column") % 64).alias("cx"), (F.col("preprocess_row") % height).alias("cy"))
-    return raster.near_land(p, view(spark, d, cells), 5, 0.6)
+@query("f15_j17_land_proximity", C + ", p AS (SELECT detect_id AS id, preprocess_column % 64 AS px, preprocess_row % " + HEIGHT + " AS py FROM (" + B + "SELECT * FROM detbox) b) SELECT id FROM p JOIN cells ON cx >= px - 5 AND cx < px + 5 AND cy >= py - 5 AND cy < py + 5 GROUP BY id HAVING avg(water) >= 0.6e0 AND max(CASE WHEN cx = px AND cy = py THEN water END) = 1")
+def land(spark, d):
+    p = view(spark, d, "detbox").select(F.col("detect_id").alias("id"), (F.col("preprocess_column") % 64).alias("cx"), (F.col("preprocess_row") % tall(spark, d)).alias("cy"))
+    return raster.near_land(p, view(spark, d, "cells"), 5, 0.6)
 
 
 @query("r01_water_mask", C + ", s AS (SELECT avg(CASE WHEN vv = 0 THEN 1e0 ELSE 0e0 END) AS z, quantile_cont(CASE WHEN vv > 0 THEN vv END, 0.25) AS qv, quantile_cont(CASE WHEN vh > 0 THEN vh END, 0.25) AS qh FROM cells) SELECT cx, cy, CASE WHEN z > 0.3e0 THEN vv = 0 ELSE vv < qv AND vh < qh END AS is_water FROM cells, s")
-def mask(spark, d, cells="cells"):
-    return raster.water_mask(view(spark, d, cells)).select("cx", "cy", "is_water")
+def mask(spark, d):
+    return raster.water_mask(view(spark, d, "cells")).select("cx", "cy", "is_water")
 
 
 @query("r03_r04_r14_channels", C + "SELECT cx, cy, CASE WHEN water = 1 THEN vv ELSE 0e0 END AS vv, CAST(floor(least(greatest(vv / 200e0, 0e0), 1e0) * 255) AS BIGINT) AS byte_vv, round(sqrt(vv * vh + 1e-6), 6) AS mean_amp, round(least(vv / (vh + 1e-6) * 50, 255e0), 6) AS ratio FROM cells")
-def channels(spark, d, cells="cells"):
-    c = view(spark, d, cells)
+def channels(spark, d):
+    c = view(spark, d, "cells")
     k = raster.derived_channels(c).select("cx", "cy", raster.to_byte("vv", 0.0, 200.0).alias("byte_vv"), F.round("mean_amp", 6).alias("mean_amp"), F.round("ratio", 6).alias("ratio"))
     return raster.masked(c).select("cx", "cy", "vv").join(k, ["cx", "cy"])
 
 
-@query("r06_alignment_offset")
+@query("r06_alignment_offset", C + ", s AS (SELECT * FROM (VALUES (-2, -2), (-2, 1), (1, -2), (1, 1)) AS t(dy, dx)) SELECT dy, dx, avg(a.vv * b.vv) AS mean FROM s, cells a, cells b WHERE a.cx = b.cx + 2 + dx AND a.cy = b.cy - 1 + dy GROUP BY dy, dx ORDER BY mean DESC, dy, dx LIMIT 1")
 def alignment(spark, d):
-    c = view(spark, d, "cells_all")
+    c = view(spark, d, "cells")
     return raster.best_offset(c.select("cx", "cy", F.col("vv").alias("v")), c.select((F.col("cx") + 2).alias("cx"), (F.col("cy") - 1).alias("cy"), F.col("vv").alias("v")))
 
 
@@ -129,20 +141,22 @@ _AT = lambda dx, dy: f"coalesce((SELECT n.vv FROM cells n WHERE n.cx = c.cx + {d
 
 
 @query("r04_sobel_kernel", C + f"SELECT cx, cy, round(-1 * {_AT(-1, -1)} + {_AT(1, -1)} - 2 * {_AT(-1, 0)} + 2 * {_AT(1, 0)} - {_AT(-1, 1)} + {_AT(1, 1)}, 6) + 0e0 AS value FROM cells c")
-def sobel(spark, d, cells="cells"):
-    return raster.convolve(view(spark, d, cells), "vv", "sobel_x").select("cx", "cy", (F.round("value", 6) + 0.0).alias("value"))
+def sobel(spark, d):
+    return raster.convolve(view(spark, d, "cells"), "vv", "sobel_x").select("cx", "cy", (F.round("value", 6) + 0.0).alias("value"))
 
 
-@query("a34_window_statistics", C + ", w AS (" + _grid(64, 64, 8, 8) + "), s AS (SELECT w.row, w.col, sum(CASE WHEN vv > 240 THEN 1 ELSE 0 END) AS n FROM w LEFT JOIN cells ON cy >= row AND cy < row + 8 AND cx >= col AND cx < col + 8 GROUP BY w.row, w.col) SELECT count(*) AS total, count(CASE WHEN n = 0 THEN 1 END) AS skipped, round(100e0 * count(CASE WHEN n = 0 THEN 1 END) / count(*), 6) AS skipped_pct FROM s")
-def window_stats(spark, d, cells="cells", height=64):
-    cells = view(spark, d, cells).withColumn("water", F.when(F.col("vv") > 240, 1).otherwise(0))
-    w = raster.coverage(V.sliding(spark, height, 64, 8, 8), cells, 8)
+@query("a34_window_statistics", C + ", w AS (" + _grid(HEIGHT, 64, 8, 8) + "), s AS (SELECT w.row, w.col, sum(CASE WHEN vv > 240 THEN 1 ELSE 0 END) AS n FROM w LEFT JOIN cells ON cy >= row AND cy < row + 8 AND cx >= col AND cx < col + 8 GROUP BY w.row, w.col) SELECT count(*) AS total, count(CASE WHEN n = 0 THEN 1 END) AS skipped, round(100e0 * count(CASE WHEN n = 0 THEN 1 END) / count(*), 6) AS skipped_pct FROM s")
+def window_stats(spark, d):
+    cells = view(spark, d, "cells").withColumn("water", F.when(F.col("vv") > 240, 1).otherwise(0))
+    w = raster.coverage(V.sliding(spark, tall(spark, d), 64, 8, 8), cells, 8)
     none = F.count_if(F.col("water_share") == 0)
     return w.agg(F.count(F.lit(1)).alias("total"), none.alias("skipped"), F.round(100.0 * none / F.count(F.lit(1)), 6).alias("skipped_pct"))
 
 
-@query("x07_model_as_table_function")
+@query("x07_model_as_table_function", C + ", t AS (SELECT *, cy // 8 AS tile_row, cx // 8 AS tile_col, row_number() OVER (PARTITION BY cy // 8, cx // 8 ORDER BY cy, cx) - 1 AS place FROM cells) SELECT tile_row, tile_col, 0 AS row, CAST(min(place) AS INTEGER) AS col, CAST(1 AS DOUBLE) AS score FROM t WHERE water = 1 GROUP BY tile_row, tile_col")
 def model(spark, d):
+    """Tiles of 8 x 8 cells, one row of float32 each: 1 is water."""
     from pelagos.operators import extensions as X
-    t = spark.range(6).select((F.col("id") % 2).alias("tile_row"), F.expr("id div 2").alias("tile_col"), F.lit(1).alias("height"), F.lit(1).alias("width"), F.when(F.col("id") % 3 == 0, F.expr("X'00000000'")).otherwise(F.expr("X'0000803F'")).alias("payload"))
+    t = view(spark, d, "cells").groupBy(F.expr("cy div 8").alias("tile_row"), F.expr("cx div 8").alias("tile_col")).agg(F.array_sort(F.collect_list(F.struct("cy", "cx", "water"))).alias("c"))
+    t = t.select("tile_row", "tile_col", F.lit(1).alias("height"), F.size("c").alias("width"), F.expr("unhex(array_join(transform(c, x -> if(x.water = 1, '0000803F', '00000000')), ''))").alias("payload"))
     return X.apply_model(raster.not_empty(t), "bright_cells")

@@ -59,13 +59,15 @@ def similar(spark, d):
     return spatial.cell_join(spatial.renamed(p, "_a"), spatial.renamed(p, "_b"), "lat_a", "lon_a", "lat_b", "lon_b", 0.02, 0.02, on).select(F.col("detect_id_a").alias("a"), F.col("detect_id_b").alias("b"))
 
 
-@query("j12_a17_pair_distances", D + """, p AS (SELECT 111000e0 * sqrt(power(x.lat - y.lat, 2) + power(x.lon - y.lon, 2)) AS m FROM det x JOIN det y ON x.detect_id < y.detect_id WHERE x.detect_id < 1000000 AND y.detect_id < 1000000 AND abs(x.lat - y.lat) <= 0.05e0 AND abs(x.lon - y.lon) <= 0.05e0)
+@query("j12_a17_pair_distances", D + """, p AS (SELECT 111000e0 * sqrt(power(x.lat - y.lat, 2) + power(x.lon - y.lon, 2)) AS m FROM det x JOIN det y ON x.detect_id < y.detect_id)
 SELECT count(*) AS pairs, round(min(m), 3) AS min_m, round(avg(m), 3) AS avg_m, round(max(m), 3) AS max_m, round(median(m), 3) AS median_m, count(CASE WHEN m < 100 THEN 1 END) AS under_100, count(CASE WHEN m < 500 THEN 1 END) AS under_500 FROM p""")
 def pair_distances(spark, d):
-    p = view(spark, d, "det").filter("detect_id < 1000000").select("detect_id", "lat", "lon")
-    on = (F.col("detect_id_a") < F.col("detect_id_b")) & (F.abs(F.col("lat_a") - F.col("lat_b")) <= 0.05) & (F.abs(F.col("lon_a") - F.col("lon_b")) <= 0.05)
-    j = spatial.cell_join(spatial.renamed(p, "_a"), spatial.renamed(p, "_b"), "lat_a", "lon_a", "lat_b", "lon_b", 0.05, 0.05, on).select(geo.flat_m("lat_a", "lon_a", "lat_b", "lon_b").alias("m"))
-    return j.agg(F.count(F.lit(1)).alias("pairs"), *[F.round(f("m"), 3).alias(n) for f, n in ((F.min, "min_m"), (F.avg, "avg_m"), (F.max, "max_m"), (F.median, "median_m"))], F.count_if(F.col("m") < 100).alias("under_100"), F.count_if(F.col("m") < 500).alias("under_500"))
+    """All pairs of all detections: aggregates, and the median by selection."""
+    m = spatial.all_pairs(view(spark, d, "det").select("detect_id", "lat", "lon"), "detect_id").select(geo.flat_m("lat_a", "lon_a", "lat_b", "lon_b").alias("m"))
+    s = m.agg(F.count(F.lit(1)).alias("pairs"), F.min("m").alias("lo"), F.avg("m").alias("mean"), F.max("m").alias("hi"), F.count_if(F.col("m") < 100).alias("under_100"), F.count_if(F.col("m") < 500).alias("under_500")).first()
+    middle = spatial.quantiles(m, "m", [0.5])[0]
+    r = spark.createDataFrame([(s.pairs, s.lo, s.mean, s.hi, middle, s.under_100, s.under_500)], "pairs long, min_m double, avg_m double, max_m double, median_m double, under_100 long, under_500 long")
+    return r.select(*[F.round(c, 3).alias(c) if c.endswith("_m") else F.col(c) for c in r.columns])
 
 
 @query("j13_labels_of_dataset", cte("duck", "windows", "labels") + "SELECT value, count(*) AS n, round(sum(length), 2) AS total FROM labels WHERE window_id IN (SELECT id FROM windows WHERE dataset_id = 7 AND split IN ('train', 'val')) GROUP BY value")
@@ -74,12 +76,12 @@ def labels_of(spark, d):
     return view(spark, d, "labels").join(w, "window_id", "left_semi").groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("length"), 2).alias("total"))
 
 
-@query("j14_nearest_report", cte("duck", "det", "pred72") + f"SELECT detect_id, round(min({hav('det.lat', 'det.lon', 'plat', 'plon')}), 3) AS nearest_m FROM (SELECT * FROM det ORDER BY detect_id LIMIT 10) det, pred72 WHERE abs(det.lat - plat) <= 0.5e0 AND abs(det.lon - plon) <= 0.5e0 GROUP BY detect_id")
+@query("j14_nearest_report", cte("duck", "det", "pred72") + f"SELECT detect_id, round(min({hav('det.lat', 'det.lon', 'plat', 'plon')}), 3) AS nearest_m FROM (SELECT * FROM det ORDER BY detect_id LIMIT 10) det, pred72 GROUP BY detect_id")
 def nearest_report(spark, d):
+    """The ten detections are a stated set of queries; each meets every report."""
     a = view(spark, d, "det").orderBy("detect_id").limit(10).select("detect_id", "lat", "lon")
     b = view(spark, d, "pred72").select("plat", "plon")
-    on = (F.abs(F.col("lat") - F.col("plat")) <= 0.5) & (F.abs(F.col("lon") - F.col("plon")) <= 0.5)
-    return spatial.cell_join(a, b, "lat", "lon", "plat", "plon", 0.5, 0.5, on).groupBy("detect_id").agg(F.round(F.min(geo.haversine_m("lat", "lon", "plat", "plon")), 3).alias("nearest_m"))
+    return b.crossJoin(F.broadcast(a)).groupBy("detect_id").agg(F.round(F.min(geo.haversine_m("lat", "lon", "plat", "plon")), 3).alias("nearest_m"))
 
 
 @query("j15_m02_coast_distance", TR + ", " + cte("duck", "coast").removeprefix("WITH ") + f"SELECT mmsi, round(min({hav('lat', 'lon', 'clat', 'clon')}), 3) AS min_distance FROM truth, coast GROUP BY mmsi")
@@ -88,13 +90,14 @@ def coast(spark, d):
     return spatial.nearest_point(t, view(spark, d, "coast"), geo.haversine_m("lat", "lon", "clat", "clon", asin=True), "mmsi").select("mmsi", F.round("min_distance", 3).alias("min_distance"))
 
 
-@query("j18_distance_nms", BX + """, s AS (SELECT id, x, y, score, row_number() OVER (ORDER BY score DESC, id) AS rk FROM boxes WHERE is_gt = 0 AND id < 600),
-k AS (SELECT * FROM (WITH RECURSIVE g(rk, kept) AS (SELECT CAST(0 AS BIGINT), []::BIGINT[] UNION ALL
-  SELECT s.rk, CASE WHEN EXISTS (SELECT 1 FROM s o WHERE list_contains(g.kept, o.id) AND sqrt(power(o.x - s.x, 2) + power(o.y - s.y, 2)) <= 15e0) THEN g.kept ELSE list_append(g.kept, s.id) END FROM g JOIN s ON s.rk = g.rk + 1) SELECT kept FROM g ORDER BY rk DESC LIMIT 1))
+@query("j18_distance_nms", BX + """, s AS (SELECT id, scene_id, x, y, row_number() OVER (PARTITION BY scene_id ORDER BY score DESC, id) AS rk FROM boxes WHERE is_gt = 0),
+k AS (SELECT * FROM (WITH RECURSIVE g(scene_id, rk, kept) AS (SELECT DISTINCT scene_id, CAST(0 AS BIGINT), []::BIGINT[] FROM s UNION ALL
+  SELECT s.scene_id, s.rk, CASE WHEN EXISTS (SELECT 1 FROM s o WHERE o.scene_id = s.scene_id AND list_contains(g.kept, o.id) AND sqrt(power(o.x - s.x, 2) + power(o.y - s.y, 2)) <= 15e0) THEN g.kept ELSE list_append(g.kept, s.id) END
+  FROM g JOIN s ON s.scene_id = g.scene_id AND s.rk = g.rk + 1) SELECT scene_id, arg_max(kept, rk) AS kept FROM g GROUP BY scene_id))
 SELECT unnest(kept) AS id FROM k""")
 def nms(spark, d):
-    r = view(spark, d, "boxes").filter("is_gt = 0 AND id < 600").select("id", "x", "y", "score")
-    return dedupe.distance_nms(r, 15.0).select("id")
+    r = view(spark, d, "boxes").filter("is_gt = 0").select("id", "scene_id", "x", "y", "score")
+    return dedupe.distance_nms(r, 15.0, group="scene_id").select("id")
 
 
 @query("j19_iou_nms", B + f""", s AS (SELECT detect_id AS id, confidence, bbox_x1, bbox_y1, bbox_x2, bbox_y2, row_number() OVER (ORDER BY confidence DESC, detect_id) AS rk FROM detbox),
@@ -132,14 +135,14 @@ def optimal(spark, d):
 
 @query("j23_a24_point_matching")
 def points(spark, d):
-    b = view(spark, d, "boxes_all")
+    b = view(spark, d, "boxes")
     c = assign.match_points(b.filter("is_gt = 1"), b.filter("is_gt = 0"))
     return c
 
 
 @query("a24_scene_metrics")
 def metrics(spark, d):
-    b = view(spark, d, "boxes_all")
+    b = view(spark, d, "boxes")
     t = assign.match_points(b.filter("is_gt = 1"), b.filter("is_gt = 0")).agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"), F.sum("fn").alias("fn"))
     ok, tp = F.col("tp") > 0, F.col("tp").cast("double")
     p, r = tp / (F.col("tp") + F.col("fp")), tp / (F.col("tp") + F.col("fn"))
@@ -148,7 +151,7 @@ def metrics(spark, d):
 
 @query("j24_box_matching")
 def boxes(spark, d):
-    b = view(spark, d, "boxes_all").selectExpr("id", "scene_id", "is_gt", "x - 12 AS x1", "y - 12 AS y1", "x + 12 AS x2", "y + 12 AS y2")
+    b = view(spark, d, "boxes").selectExpr("id", "scene_id", "is_gt", "x - 12 AS x1", "y - 12 AS y1", "x + 12 AS x2", "y + 12 AS y2")
     return assign.match_boxes(b.filter("is_gt = 1"), b.filter("is_gt = 0"))
 
 
@@ -182,7 +185,8 @@ def interpolated(spark, d):
     return t.select("mmsi", F.col("at").alias("at_us"), F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"))
 
 
-@query("a33_interpolation_rmse")
+@query("a33_interpolation_rmse", cte("duck", "ais") + f"""SELECT round(sqrt(avg(m * m)), 2) AS rmse_m, count(*) AS points FROM (SELECT {hav('lat', 'lon', 'lat0 + (lat2 - lat0) * f', 'lon0 + (lon2 - lon0) * f')} AS m FROM
+ (SELECT *, (us - us0) / CAST(us2 - us0 AS DOUBLE) AS f FROM (SELECT lat, lon, us, lag(us) OVER w AS us0, lead(us) OVER w AS us2, lag(lat) OVER w AS lat0, lead(lat) OVER w AS lat2, lag(lon) OVER w AS lon0, lead(lon) OVER w AS lon2 FROM ais WINDOW w AS (PARTITION BY mmsi ORDER BY us, seq)) x WHERE us2 > us0) y) z""")
 def rmse(spark, d):
     return tracks.leave_one_out_rmse(view(spark, d, "ais")).select(F.round("rmse_m", 2).alias("rmse_m"), "points")
 
@@ -197,12 +201,9 @@ def clusters(spark, d):
     return cluster.dbscan(p, 0.06)
 
 
-@query("r02_water_regions", cte("duck", "cells") + """, w AS (SELECT cy * 64 + cx AS id, cx, cy FROM cells WHERE water = 1 AND cy < 20),
-e AS (SELECT a.id AS a, b.id AS b FROM w a JOIN w b ON abs(a.cx - b.cx) <= 1 AND abs(a.cy - b.cy) <= 1 AND a.id <> b.id),
-k AS (SELECT * FROM (WITH RECURSIVE r(id, lab) AS (SELECT id, id FROM w UNION SELECT e.b, r.lab FROM r JOIN e ON e.a = r.id WHERE r.lab < e.b) SELECT id, min(lab) AS lab FROM r GROUP BY id))
-SELECT lab AS component, count(*) AS area, min(cx) AS x0, max(cx) AS x1, min(cy) AS y0, max(cy) AS y1 FROM k JOIN w USING (id) GROUP BY lab""")
+@query("r02_water_regions")
 def water(spark, d):
-    r = cluster.regions(view(spark, d, "cells").filter("water = 1 AND cy < 20").select("cx", "cy"), 64)
+    r = cluster.regions(view(spark, d, "cells").filter("water = 1").select("cx", "cy"), 64)
     return cluster.region_stats(r).select("component", "area", "x0", "x1", "y0", "y1")
 
 
