@@ -1,47 +1,69 @@
 """Optimal one-to-one assignment. The candidate graph splits into components first; each one is
-solved by the Hungarian method in numpy, in a group of its own."""
+solved by shortest augmenting paths over its own pairs, so memory follows the pairs."""
 
 from __future__ import annotations
 
-import numpy as np
+from heapq import heappop, heappush
+
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pelagos.operators.graph import connected_components
-
-
-def hungarian(cost: np.ndarray) -> np.ndarray:
-    """Column of each row of a least-cost assignment (rows <= columns); shortest augmenting
-    paths with potentials."""
-    n, m = cost.shape
-    u, v = np.zeros(n + 1), np.zeros(m + 1)
-    owner, way = np.zeros(m + 1, int), np.zeros(m + 1, int)
-    for i in range(1, n + 1):
-        owner[0], j0 = i, 0
-        least, used = np.full(m + 1, np.inf), np.zeros(m + 1, bool)
-        while owner[j0]:
-            used[j0] = True
-            row = owner[j0]
-            free = ~used[1:]
-            now = cost[row - 1] - u[row] - v[1:]
-            better = free & (now < least[1:])
-            least[1:][better] = now[better]
-            way[1:][better] = j0
-            j1 = int(np.argmin(np.where(free, least[1:], np.inf))) + 1
-            delta = least[j1]
-            u[owner[used]] += delta
-            v[used] -= delta
-            least[1:][free] -= delta
-            j0 = j1
-        while j0:
-            owner[j0] = owner[way[j0]]
-            j0 = way[j0]
-    out = np.full(n, -1)
-    for j in range(1, m + 1):
-        if owner[j]:
-            out[owner[j] - 1] = j - 1
-    return out
+from pelagos.operators.spatial import box_pairs
+
+
+def best_pairs(edges: list[tuple[int, int, float]]) -> dict[int, int]:
+    """{left: right} of the largest total gain from (left, right, gain > 0); each may stay alone.
+    Shortest augmenting paths with potentials, on a heap; the smaller ids come first."""
+    near: dict[int, list[tuple[int, float]]] = {}
+    for l, r, g in sorted(edges):
+        near.setdefault(l, []).append((r, -g))
+    mine: dict[int, int] = {}  # left -> right
+    owner: dict[int, int] = {}  # right -> left
+    v = dict.fromkeys((r for _, r, _ in edges), 0.0)
+    u = {l: min(0.0, min(c for _, c in to)) for l, to in near.items()}
+    for start in near:
+        base, came = {start: 0.0}, {}  # distance of left nodes, left node before each right one
+        dist: dict[int, float] = {}
+        heap, end, at = [], None, start
+        alone = (-u[start], start)  # the cheapest left node to be left alone
+        while True:
+            d = base[at]
+            for r, c in near[at]:
+                if (x := d + c - u[at] - v[r]) < dist.get(r, float("inf")) - 1e-12:
+                    dist[r], came[r] = x, at
+                    heappush(heap, (x, r))
+            alone = min(alone, (d - u[at], at))
+            while heap and heap[0][0] > dist[heap[0][1]]:
+                heappop(heap)
+            if not heap or alone[0] <= heap[0][0]:
+                total = alone[0]
+                break
+            x, r = heappop(heap)
+            if r not in owner:
+                total, end = x, r
+                break
+            at = owner[r]
+            base[at] = x
+        for l, d in base.items():
+            u[l] += total - d
+        for r, d in dist.items():
+            if d < total:
+                v[r] -= total - d
+        if end is None:  # alone[1] gives up its right node, which the path before it takes
+            l = alone[1]
+            end = mine.pop(l, None)
+            if end is None:
+                continue
+        while end is not None:
+            l = came[end]
+            before = mine.get(l)
+            mine[l], owner[end] = end, l
+            if l == start:
+                break
+            end = before
+    return mine
 
 
 def assign(pairs: DataFrame, left: str, right: str, gain: str) -> DataFrame:
@@ -51,12 +73,8 @@ def assign(pairs: DataFrame, left: str, right: str, gain: str) -> DataFrame:
     grouped = nodes.join(parts, nodes.a == parts.id).select("component", "_l", "_r", "_g")
 
     def solve(df: pd.DataFrame) -> pd.DataFrame:
-        l, r = np.sort(df._l.unique()), np.sort(df._r.unique())
-        g = np.zeros((len(l), len(r) + len(l)))  # a column of no gain for each row
-        g[np.searchsorted(l, df._l), np.searchsorted(r, df._r)] = df._g
-        at = hungarian(-g)
-        keep = [(a, r[j]) for a, j, x in zip(l, at, g[np.arange(len(l)), at]) if j < len(r) and x > 0]
-        return pd.DataFrame(keep, columns=[left, right]).astype("int64")
+        most = df.groupby(["_l", "_r"])._g.max()
+        return pd.DataFrame(list(best_pairs([(int(l), int(r), g) for (l, r), g in most.items()]).items()), columns=[left, right]).astype("int64")
 
     return grouped.groupBy("component").applyInPandas(solve, f"{left} long, {right} long")
 
@@ -82,12 +100,17 @@ def match_points(truth: DataFrame, pred: DataFrame, tolerance: float = 20.0) ->
 
 
 def match_boxes(truth: DataFrame, pred: DataFrame) -> DataFrame:
-    """scene_id -> tp, fp, fn: boxes that touch, one to one, as many as possible."""
-    a = truth.select("scene_id", F.col("id").alias("gt"), *[F.col(c).alias(c + "_a") for c in ("x1", "y1", "x2", "y2")])
-    b = pred.select("scene_id", F.col("id").alias("pr"), *[F.col(c).alias(c + "_b") for c in ("x1", "y1", "x2", "y2")])
-    touch = "x1_a <= x2_b AND y1_a <= y2_b AND x2_a >= x1_b AND y2_a >= y1_b"
-    pairs = a.join(b, "scene_id").filter(touch).withColumn("gain", F.lit(1.0))
-    hits = assign(pairs, "gt", "pr", "gain").join(a, "gt").groupBy("scene_id").agg(F.count(F.lit(1)).alias("tp"))
+    """scene_id -> tp, fp, fn: boxes that touch, one to one, as many as possible. They meet in the
+    tiles that both cover."""
+    box = ("x1", "y1", "x2", "y2")
+    both = truth.select("scene_id", (F.col("id") * 2).alias("k"), *box).union(pred.select("scene_id", F.col("id") * 2 + 1, *box))
+    touch = F.expr("x1_a <= x2_b AND y1_a <= y2_b AND x2_a >= x1_b AND y2_a >= y1_b") & (F.col("k_a") % 2 != F.col("k_b") % 2)
+    met = box_pairs(both, "k", touch, box=box, also=("scene_id",))
+    one = F.col("k_a") % 2 == 0
+    gt, pr = F.when(one, F.col("k_a")).otherwise(F.col("k_b")), F.when(one, F.col("k_b")).otherwise(F.col("k_a"))
+    pairs = met.select(F.expr("scene_id_a").alias("scene_id"), F.shiftright(gt, 1).alias("gt"), F.shiftright(pr, 1).alias("pr"), F.lit(1.0).alias("gain"))
+    scene = truth.select(F.col("id").alias("gt"), "scene_id")
+    hits = assign(pairs, "gt", "pr", "gain").join(scene, "gt").groupBy("scene_id").agg(F.count(F.lit(1)).alias("tp"))
     return counts(truth, pred, hits)
 
 
