@@ -8,30 +8,28 @@ gathered by scene, so a scene may be of any size.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pelagos.functions.geo import iou
 from pelagos.operators.spatial import box_pairs, cell_join, renamed
-from pelagos.session import cut, keep, release
+from pelagos.session import cut, release
 
 
 def independent(rows: DataFrame, edges: DataFrame) -> DataFrame:
     """rows(id, ...) that stay, given edges(winner, loser) of conflicts."""
-    live, out = cut(edges.select("winner", "loser").distinct(), "conflicts"), None
-    gone = []
+    live, gone = cut(edges.select("winner", "loser").distinct(), "conflicts"), []
     while not live.isEmpty():
-        losers = live.select(F.col("loser").alias("id")).distinct()
-        top = cut(live.select(F.col("winner").alias("id")).distinct().join(losers, "id", "left_anti"), "kept")
-        drop = cut(live.join(top.withColumnRenamed("id", "winner"), "winner").select(F.col("loser").alias("id")).distinct(), "dropped")
+        top = live.select("winner").distinct().join(live.select(F.col("loser").alias("winner")).distinct(), "winner", "left_anti")
+        drop = cut(live.join(top, "winner").select(F.col("loser").alias("id")).distinct(), "dropped")
         gone.append(drop)
-        done = top.union(drop)
-        rest = live.join(done.withColumnRenamed("id", "winner"), "winner", "left_anti").join(done.withColumnRenamed("id", "loser"), "loser", "left_anti")
+        # the losers of a top row are dropped, so its edges go with them
+        rest = live.join(drop.withColumnRenamed("id", "winner"), "winner", "left_anti").join(drop.withColumnRenamed("id", "loser"), "loser", "left_anti")
         before, live = live, cut(rest, "conflicts")
         release(before)
-    for d in gone:
-        out = d if out is None else out.union(d)
-    return rows if out is None else rows.join(out, "id", "left_anti")
+    return rows.join(reduce(DataFrame.union, gone), "id", "left_anti") if gone else rows
 
 
 def _edges(pairs: DataFrame, score: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -30,10 +31,13 @@ def get_spark(app: str = "pelagos", cores: str = "8", shuffle: int = 8) -> Spark
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share, named by spark.checkpoint.dir.
 
-    Only where the session names none (tests, local mode) a temporary folder is set.
+    Only where the session names none and has one machine (tests, local mode) a temporary folder
+    is set; on a cluster it would be another one on each machine.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         held = getattr(spark.sparkContext, "_pelagos_shared", None)
         folder = held or "file://" + tempfile.mkdtemp(prefix="pelagos-")
         spark.sparkContext._pelagos_shared = folder
@@ -65,17 +69,20 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """df computed once and held in executors' memory and disks. What a lost executor held is
     computed again from its lineage; materialize() is for long lineages and for large tables."""
+    return _counted(df)[0]
+
+
+def _counted(df: DataFrame) -> tuple[DataFrame, int]:
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     with _shuffles_dropped(df.sparkSession):
-        df.count()
-    return df
+        return df, df.count()
 
 
 def cut(df: DataFrame, tag: str, per_file: int = 200_000) -> DataFrame:
     """materialize() into few files: computed in parallel, counted, then written with about
     per_file rows a file. For small tables that are read many times, as in loops."""
-    held = keep(df)
-    out = materialize(held.coalesce(max(1, -(-held.count() // per_file))), tag)
+    held, n = _counted(df)
+    out = materialize(held.coalesce(max(1, -(-n // per_file))), tag)
     release(held)
     return out
 
