@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from pelagos.functions import geo
 from pelagos.operators import analytics
@@ -59,6 +58,3 @@ def bright_cells(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 r, c = divmod(int(a.argmax()), t.width)
                 rows.append((t.tile_row, t.tile_col, r, c, float(a.max())))
         yield pd.DataFrame(rows, columns=["tile_row", "tile_col", "row", "col", "score"])
-
-
-_ = F

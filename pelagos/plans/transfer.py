@@ -6,7 +6,6 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from pelagos.operators import projections as R
 from pelagos.plans.adapters import cte, view
 from pelagos.plans.catalog import query
 from pelagos.plans.correlation import FLAGSHIP_SQL, results
@@ -106,11 +105,9 @@ def shape(spark, d):
 
 @query("k10_correlation_features", f"SELECT detect_id, coalesce(CAST(matched_mmsi AS VARCHAR), 'UNKNOWN') AS mmsi, 'correlated' AS compat, CASE WHEN matched_mmsi IS NULL THEN 'dark_ship' ELSE 'correlated' END AS strict FROM ({FLAGSHIP_SQL}) q")
 def correlation_features(spark, d):
-    r = results(spark, d)
     p = lambda c: F.from_json(c, "properties STRUCT<matched_mmsi: STRING, status: STRING>")
-    a = sinks.correlation_features(r).select("detect_id", p("feature").alias("a"))
-    b = sinks.correlation_features(r, False).select("detect_id", p("feature").alias("b"))
-    return a.join(b, "detect_id").select("detect_id", F.col("a.properties.matched_mmsi").alias("mmsi"), F.col("a.properties.status").alias("compat"), F.col("b.properties.status").alias("strict"))
+    r = results(spark, d).select("detect_id", p(sinks.correlation_feature()).alias("a"), p(sinks.correlation_feature(False)).alias("b"))
+    return r.select("detect_id", F.col("a.properties.matched_mmsi").alias("mmsi"), F.col("a.properties.status").alias("compat"), F.col("b.properties.status").alias("strict"))
 
 
 @query("k12_api_features", B + "SELECT detect_id, unnest(['point', 'box']) AS kind FROM detbox")
@@ -118,11 +115,11 @@ def api(spark, d):
     return sinks.api_features(view(spark, d, "detbox")).select("detect_id", "kind")
 
 
-@query("k13_ais_in_scene", A + ", b AS (SELECT min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS e FROM (" + D + "SELECT * FROM det WHERE detect_id < 1000000) z) SELECT seq, mmsi FROM ais, b WHERE lat BETWEEN b.a AND b.b AND lon BETWEEN b.c AND b.e AND us BETWEEN 1705320000000000 - 86400000000 AND 1705320000000000 + 86400000000")
+@query("k13_ais_in_scene", A + ", b AS (SELECT min(lat) AS a, max(lat) AS b, min(lon) AS c, max(lon) AS e FROM (" + D + "SELECT * FROM det) z) SELECT seq, mmsi FROM ais, b WHERE lat BETWEEN b.a AND b.b AND lon BETWEEN b.c AND b.e AND us BETWEEN 1705320000000000 - 86400000000 AND 1705320000000000 + 86400000000")
 def in_scene(spark, d):
     from pelagos.operators import filters as L
     near = L.time_window(view(spark, d, "ais"), 1705320000000000, 24)
-    return L.within_bounds_of(near, view(spark, d, "det").filter("detect_id < 1000000"), 0.0).select("seq", "mmsi")
+    return L.within_bounds_of(near, view(spark, d, "det"), 0.0).select("seq", "mmsi")
 
 
 @query("k14_run_summary", f"SELECT count(*) AS total_detections, count(matched_mmsi) AS correlated, count(*) - count(matched_mmsi) AS dark_ships, round(100e0 * count(matched_mmsi) / count(*), 2) AS match_rate FROM ({FLAGSHIP_SQL}) q")
@@ -134,6 +131,3 @@ def summary(spark, d):
 @query("k15_service_payload", D + "SELECT CAST(detect_id AS VARCHAR) AS id, round(lon, 6) AS lon, round(lat, 6) AS lat FROM det")
 def payload(spark, d):
     return sinks.service_payload(view(spark, d, "det")).select(F.from_json("payload", "id STRING, lon DOUBLE, lat DOUBLE").alias("j")).select("j.*")
-
-
-_ = R

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import os
-from dataclasses import dataclass, field, fields
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -15,8 +15,9 @@ from pelagos import schemas
 from pelagos.operators.projections import stamp_of, stamp_time
 
 
-def _csv(spark: SparkSession, path: str, schema, sep: str = ",") -> DataFrame:
-    """Header CSV by name: the file's columns may be a part of the schema or in another order."""
+def _csv(spark: SparkSession, path: str, schema, sep: str = ",", order: bool = False) -> DataFrame:
+    """Header CSV by name: the file's columns may be a part of the schema or in another order.
+    order adds file_order, which grows along each file, and from file to file by name."""
     head = spark.read.option("header", True).option("sep", sep).csv(path)
     have = {c.lower(): c for c in head.columns}
     cols = []
@@ -28,11 +29,14 @@ def _csv(spark: SparkSession, path: str, schema, sep: str = ",") -> DataFrame:
         c = F.nullif(c, F.lit(""))
         kind = f.dataType.simpleString()
         if kind in ("bigint", "int"):
-            cols.append(F.expr(f"try_cast(try_cast({_sql(have[f.name.lower()])} AS DOUBLE) AS {kind})").alias(f.name))
+            # 90.0 is a whole number too; long ids don't go through DOUBLE
+            cols.append(F.expr(f"coalesce(try_cast({_sql(have[f.name.lower()])} AS {kind}), try_cast(try_cast({_sql(have[f.name.lower()])} AS DOUBLE) AS {kind}))").alias(f.name))
         elif kind == "string":
             cols.append(c.alias(f.name))
         else:
             cols.append(F.expr(f"try_cast(nullif(trim({_sql(have[f.name.lower()])}), '') AS {kind})").alias(f.name))
+    if order:
+        cols.append(F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("row")).alias("file_order"))
     return schemas.nan_to_null(head.select(*cols))
 
 
@@ -46,14 +50,15 @@ def read_detections(spark: SparkSession, path: str, old_layout: bool = False) ->
 
 
 def read_ais(spark: SparkSession, path: str, drop_incomplete: bool = False) -> DataFrame:
-    df = _csv(spark, path, schemas.AIS)
+    df = _csv(spark, path, schemas.AIS, order=True)
     return df.na.drop(subset=["LAT", "LON", "MMSI"]) if drop_incomplete else df
 
 
 def ais_columns(df: DataFrame) -> DataFrame:
-    """The names that the operators take; seq keeps the order within a vessel's equal times."""
+    """The names that the operators take. seq is the place in the files: of a vessel's reports
+    equally near in time the first one counts. Without file_order it is a hash of the report."""
     us = F.unix_micros(F.col("BaseDateTime").cast("timestamp"))
-    return df.select(F.xxhash64("MMSI", "BaseDateTime", "LAT", "LON").alias("seq"), F.col("MMSI").alias("mmsi"), us.alias("us"), F.col("LAT").alias("lat"), F.col("LON").alias("lon"), F.col("SOG").alias("sog"), F.col("COG").alias("cog"), F.col("Heading").alias("heading"),
+    return df.select((F.col("file_order") if "file_order" in df.columns else F.xxhash64("MMSI", "BaseDateTime", "LAT", "LON")).alias("seq"), F.col("MMSI").alias("mmsi"), us.alias("us"), F.col("LAT").alias("lat"), F.col("LON").alias("lon"), F.col("SOG").alias("sog"), F.col("COG").alias("cog"), F.col("Heading").alias("heading"),
                      F.col("Length").alias("length"), F.col("Width").alias("width"), F.col("VesselType").cast("int").alias("vtype"))
 
 
@@ -188,6 +193,3 @@ class Config:
         for part in head:
             at = at.setdefault(part, {})
         at[last] = value
-
-
-_ = fields

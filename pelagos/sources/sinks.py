@@ -62,10 +62,14 @@ def polygon_features(df: DataFrame) -> DataFrame:
     return df.filter("lat IS NOT NULL AND lon IS NOT NULL").select("detect_id", feature(polygon(geo.box_ring("lat", "lon", "vessel_length_m")), props).alias("feature"))
 
 
-def correlation_features(df: DataFrame, compat: bool = True) -> DataFrame:
+def correlation_feature(compat: bool = True) -> Column:
     """compat finds every row correlated, as its file spells a missing vessel 'UNKNOWN'."""
     status = F.lit("correlated") if compat else F.when(F.col("matched_mmsi").isNotNull(), "correlated").otherwise("dark_ship")
-    return df.select("detect_id", feature(point(), F.struct("detect_id", F.coalesce(F.col("matched_mmsi").cast("string"), F.lit("UNKNOWN")).alias("matched_mmsi"), F.round("match_confidence", 4).alias("match_confidence"), status.alias("status"))).alias("feature"))
+    return feature(point(), F.struct("detect_id", F.coalesce(F.col("matched_mmsi").cast("string"), F.lit("UNKNOWN")).alias("matched_mmsi"), F.round("match_confidence", 4).alias("match_confidence"), status.alias("status")))
+
+
+def correlation_features(df: DataFrame, compat: bool = True) -> DataFrame:
+    return df.select("detect_id", correlation_feature(compat).alias("feature"))
 
 
 def api_features(df: DataFrame) -> DataFrame:

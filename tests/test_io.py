@@ -81,3 +81,14 @@ def test_metadata_tables(spark):
     assert [r.value for r in metadata.labels_of(lab, w, 7, ["val"]).collect()] == ["b"]
     assert metadata.by_id(w, 3).first().dataset_id == 8 and metadata.windows_of(w, 7).count() == 2
     spark.sql("DROP DATABASE meta_test CASCADE")
+
+
+def test_first_report_in_the_file_counts(spark, tmp_path):
+    from pelagos.operators import correlate
+    head = "MMSI,BaseDateTime,LAT,LON,SOG,COG,Heading,VesselType,Length,Width\n"
+    for n in range(3):
+        lines = [f"{9007199254740993 + 2 * v},2023-06-20 23:06:4{s},{36 + n + i / 100},-76,5,10,20,70,100,20\n" for v in range(20) for i, s in enumerate((1, 3, 1))]
+        (tmp_path / f"part{n}.csv").write_text(head + "".join(lines))
+    ais = readers.ais_columns(readers.read_ais(spark, str(tmp_path)))
+    rows = correlate.clean_reports(ais, 1687302402000000, 2).collect()  # 23:06:42, as far from 41 as from 43
+    assert len(rows) == 20 and {r.lat for r in rows} == {36.0} and {r.mmsi % 2 for r in rows} == {1}
