@@ -29,6 +29,24 @@ def heading_target(degrees: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.lit(15)), lambda i: F.round(F.when(at(i, 9) | at(i, 7), 1 / 14).when(at(i, 8), 2 / 14).when(near & (at(i, 1) | at(i, 15)), 1 / 14).when(i == b, 8 / 14).otherwise(0.0), 6))
 
 
+def custom_target(properties: str) -> Column:
+    """21 numbers from a label's JSON: length and width over 100, 16 heading weights, speed, and
+    whether it isn't or is a fishing vessel (type 30)."""
+    def num(k: str) -> Column:
+        return F.get_json_object(properties, f"$.{k}").cast("double")
+    fishing = F.coalesce(num("ShipAndCargoType") == 30, F.lit(False))
+    return F.concat(F.array(num("Length") / 100, num("Width") / 100), heading_target(num("Heading")), F.array(num("Speed"), F.when(fishing, 0.0).otherwise(1.0), F.when(fishing, 1.0).otherwise(0.0)))
+
+
+def regression_target(labels: DataFrame, order: str = "value") -> DataFrame:
+    """window_id, target: the value of each window's first label, 0 without one."""
+    return labels.groupBy("window_id").agg(F.coalesce(F.min_by("value", order), F.lit(0.0)).alias("target"))
+
+
+#: Targets by task: box and point labels stay as they are (boxes by F21, M21).
+LABEL_TARGETS = {"custom": custom_target, "regression": regression_target}
+
+
 def catalog_of(name: str) -> Column:
     n = F.col(name)
     return F.when(n.rlike("^S1"), "sentinel1").when(n.rlike("^S2"), "sentinel2").otherwise("landsat")
