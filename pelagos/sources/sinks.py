@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import struct
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,16 +100,57 @@ def shape_attributes(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def shape_points(df: DataFrame) -> bytes:
-    """The .shp of point features, for the result of a report: at most 100 000 rows."""
-    import struct
+def _shape(xs: list[float], ys: list[float], names: list[str], rows: list[list[str]]) -> tuple[bytes, bytes, bytes]:
+    """.shp, .shx and .dbf of points with text attributes."""
+    n = len(xs)
+    bounds = struct.pack("<dddddddd", min(xs, default=0), min(ys, default=0), max(xs, default=0), max(ys, default=0), 0, 0, 0, 0)
+
+    def head(size: int) -> bytes:
+        return struct.pack(">iiiiiii", 9994, 0, 0, 0, 0, 0, size // 2) + struct.pack("<ii", 1000, 1) + bounds
+    shp = head(100 + 28 * n) + b"".join(struct.pack(">ii", i, 10) + struct.pack("<idd", 1, x, y) for i, (x, y) in enumerate(zip(xs, ys), 1))
+    shx = head(100 + 8 * n) + b"".join(struct.pack(">ii", 50 + 14 * i, 10) for i in range(n))
+    cells = [[v.encode("utf-8")[:254] for v in r] for r in rows]
+    wide = [max([1, *(len(r[k]) for r in cells)]) for k in range(len(names))]
+    dbf = struct.pack("<BBBBIHH20x", 3, 100, 1, 1, n, 33 + 32 * len(names), 1 + sum(wide))
+    dbf += b"".join(struct.pack("<11scIBB14x", k.encode()[:SHAPE_NAME], b"C", 0, w, 0) for k, w in zip(names, wide)) + b"\r"
+    return shp, shx, dbf + b"".join(b" " + b"".join(v.ljust(w) for v, w in zip(r, wide)) for r in cells) + b"\x1a"
+
+
+def shape_files(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """Point shapefiles with attributes: a row (points, shp, shx, dbf) for every `most` points of a
+    task at most, so a table of any size gives as many files as it needs. Rows without
+    coordinates are skipped."""
+    names = shape_attributes(df).columns
+    rows = df.filter("lon IS NOT NULL AND lat IS NOT NULL").select(F.col("lon").cast("double"), F.col("lat").cast("double"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns[:len(names)]])
+
+    def task(batches):
+        xs, ys, held = [], [], []
+
+        def flush():
+            out = pa.RecordBatch.from_arrays([pa.array([len(xs)], pa.int64()), *[pa.array([b], pa.binary()) for b in _shape(xs, ys, names, held)]], names=["points", "shp", "shx", "dbf"])
+            for part in (xs, ys, held):
+                part.clear()
+            return out
+        for b in batches:
+            for x, y, *rest in zip(*(c.to_pylist() for c in b.columns)):
+                xs.append(x)
+                ys.append(y)
+                held.append(rest)
+                if len(xs) == most:
+                    yield flush()
+        if xs:
+            yield flush()
+
+    return rows.toDF("x", "y", *names).mapInArrow(task, "points long, shp binary, shx binary, dbf binary")
 
+
+def shape_points(df: DataFrame) -> bytes:
+    """The .shp of the points of a report: 100 000 rows come to the driver at most; shape_files()
+    writes any number."""
     rows = df.select("lon", "lat").na.drop().limit(100_001).collect()
     if len(rows) > 100_000:
-        raise ValueError("a shapefile is a report of at most 100 000 points; write GeoJSON instead")
-    xs, ys = [r.lon for r in rows] or [0.0], [r.lat for r in rows] or [0.0]
-    body = b"".join(struct.pack(">ii", i, 10) + struct.pack("<idd", 1, r.lon, r.lat) for i, r in enumerate(rows, 1))
-    return struct.pack(">iiiiiii", 9994, 0, 0, 0, 0, 0, (100 + len(body)) // 2) + struct.pack("<iidddddddd", 1000, 1, min(xs), min(ys), max(xs), max(ys), 0, 0, 0, 0) + body
+        raise ValueError("over 100 000 points don't come to the driver; shape_files() gives several files")
+    return _shape([r.lon for r in rows], [r.lat for r in rows], [], [[] for _ in rows])[0]
 
 
 def run_summary(results: DataFrame) -> DataFrame:

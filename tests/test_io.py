@@ -92,3 +92,14 @@ def test_first_report_in_the_file_counts(spark, tmp_path):
     ais = readers.ais_columns(readers.read_ais(spark, str(tmp_path)))
     rows = correlate.clean_reports(ais, 1687302402000000, 2).collect()  # 23:06:42, as far from 41 as from 43
     assert len(rows) == 20 and {r.lat for r in rows} == {36.0} and {r.mmsi % 2 for r in rows} == {1}
+
+
+def test_shape_files_of_any_number(spark):
+    df = spark.range(25).selectExpr("id AS detect_id", "if(id = 7, null, id * 0.5D) AS lat", "-id * 1.5D AS lon", "concat('ä', id) AS vessel_type").coalesce(1)
+    parts = sinks.shape_files(df, most=10).collect()
+    assert [r.points for r in parts] == [10, 10, 4]
+    r, places = parts[2], [struct.unpack_from("<dd", parts[2].shp, 100 + 28 * i + 12) for i in range(4)]
+    assert places == [(-i * 1.5, i * 0.5) for i in range(21, 25)] and struct.unpack_from(">i", r.shp, 24)[0] * 2 == len(r.shp) and struct.unpack_from(">i", r.shx, 24)[0] * 2 == len(r.shx)
+    assert struct.unpack_from(">ii", r.shx, 108) == (64, 10) and struct.unpack_from("<I", r.dbf, 4)[0] == 4
+    size, row = struct.unpack_from("<HH", r.dbf, 8)
+    assert len(r.dbf) == size + 4 * row + 1 and "ä21".encode() in r.dbf and r.dbf[32:41] == b"detect_id"
