@@ -38,13 +38,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
-from pelagos.llm.names import free_name
+from pelagos.llm.names import free_name, with_key
 from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op10_two_stage_suffixes"
 LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
-NULL = -(1 << 63)
 AT = 8  # a place: start in the text, and 8 bits of windows
 
 
@@ -342,19 +341,6 @@ def uncrowded(many: DataFrame, length: int, gram: int, crowd: int) -> tuple[list
 # ---- whole corpus
 
 
-def with_key(docs: DataFrame, name: str) -> DataFrame:
-    """docs with a column `name`: longs in the order of doc_id (null first) that tell different
-    texts apart. doc_id itself where each has one text; else the place in a sort of the pairs."""
-    okey, text = F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL)), F.xxhash64(F.coalesce("text", F.lit("")))
-    pairs = docs.select(okey.alias("k"), text.alias("t"))
-    if pairs.groupBy("k").agg(F.min("t").alias("a"), F.max("t").alias("b")).filter("a <> b").isEmpty():
-        return docs.withColumn(name, okey)
-    order = materialize(pairs.distinct().orderBy("k", "t").withColumn("m", F.monotonically_increasing_id()), "keys")
-    k, t = free_name(docs, "k"), free_name(docs, "t")
-    order = order.select(F.col("k").alias(k), F.col("t").alias(t), F.col("m").alias(name))
-    return docs.withColumn(k, okey).withColumn(t, text).join(order, [k, t]).drop(k, t)
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     docs = long_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     return with_key(docs, "okey")

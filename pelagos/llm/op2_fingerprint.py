@@ -13,7 +13,7 @@ range is copied to the range before. There are MOST_RANGES ranges at most, so wh
 driver holds is bounded; a range is read as a stream.
 
 Defined results: a null text is empty, and two empty texts are alike (1.0); null doc_ids come
-first; equal doc_ids stand in the order of their compressed texts and follow one another; a
+first; equal doc_ids stand in the order of a hash of their texts and follow one another; a
 single document is its own next; an empty table gives no rows; other columns are ignored.
 """
 
@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pelagos.llm import bytehash as bh
+from pelagos.llm.names import with_key
 from pelagos.session import long_rows, table
 
 NAME = "op2_invertible_bloom"
@@ -206,7 +207,7 @@ def ranges(docs: DataFrame) -> tuple[np.ndarray, dict[int, int]]:
 
 def ordered(docs: DataFrame) -> DataFrame:
     """part, guest, okey, doc_id, z (the compressed text), sorted inside each part."""
-    docs = long_rows(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("okey"), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    docs = with_key(long_rows(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")), "okey").select("okey", "doc_id", "text")
     bounds, guests = ranges(docs)
     keys = np.array(sorted(guests), np.int64)
 

@@ -1,11 +1,29 @@
 import hashlib
+import re
 from collections import Counter
 
+import numpy as np
+
+from pelagos.llm import bytehash as bh
 from pelagos.llm import op2_fingerprint as op
 
 
+def pieces(text):
+    """The paragraphs of a text: lines, cut after words whose hash is a multiple of CUT."""
+    out = []
+    for line in text.encode("utf-8", "surrogatepass").split(b"\n"):
+        words, first = [(m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", line)], None
+        for k, (i, j) in enumerate(words):
+            first = i if first is None else first
+            h = int(bh.spans(bh.sums(np.frombuffer(line[i:j], np.uint8)), np.array([0]), np.array([j - i]))[0])
+            if h % op.CUT == 0 or k == len(words) - 1:
+                out.append(line[first:j])
+                first = None
+    return Counter(out)
+
+
 def brute(a, b):
-    x, y = (Counter(op.digests([t])[1].tolist()) for t in (a, b))
+    x, y = pieces(a), pieces(b)
     n = sum(x.values()) + sum(y.values())
     return 1 - sum(((x - y) + (y - x)).values()) / n if n else 1.0
 
@@ -64,3 +82,11 @@ def test_edge_cases(docs):
     assert len(one) == 1 and one[0].near_next == 1.0
     rows = op.fingerprint(docs([(None, None), (5, "b"), (5, "b"), (2, "a " * 50_000)])).collect()
     assert sorted(str(r.doc_id) for r in rows) == ["2", "5", "5", "None"]
+
+
+def test_many_texts_of_one_id(docs, words):
+    rows = [(None if i % 3 else 5, words(3 + i % 4, i)) for i in range(900)] + [(None, "same text")] * 50
+    out = op.fingerprint(docs(rows)).collect()
+    assert len(out) == 950 and all(r.n_chars >= 0 for r in out)
+    # each text follows one other, null ids first
+    assert sum(r.near_next == 1.0 and r.n_chars == 9 for r in out) >= 49

@@ -87,3 +87,13 @@ def test_empty_documents(spark):
     for _, stage in pipe.STAGES:
         docs = stage(spark, docs, "")
     assert docs.count() == 0
+
+
+def test_columns_of_clashing_names(spark):
+    extra = "_okey okey _n n _id _t _s _spans spans _text text_ taken size h part component z a b _k".split()
+    docs = fixture(spark).limit(60).selectExpr("*", *[f"'x' AS {c}" for c in extra])
+    columns = docs.columns
+    for name, stage in pipe.STAGES:
+        docs = stage(spark, docs, "")
+        assert name == "pack" or docs.columns == columns
+    assert docs.count() > 0
