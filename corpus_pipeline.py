@@ -1,7 +1,14 @@
 """Corpus pipeline: language ID, near-duplicate join, repeated passages, source mix, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows of the stage before; all but the
-last return the columns of documents. run() applies them to the documents of sf_dir.
+last return the columns of documents, whatever other columns are called (helper columns get free
+names). run() applies them to documents of sf_dir.
+
+Defined results: a null text has no language and goes in the first stage; a null doc_id comes
+before all others; rows of one doc_id are one node of near duplicates (they stay or go together)
+and are repeated alike by the mix; of a group the smallest doc_id stays, of repeated passages the
+first by doc_id, then by a hash of the text; rows equal in both are one document to the repeated
+passages; an empty table gives empty tables.
 """
 
 from __future__ import annotations
@@ -9,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from pelagos.llm import op1_packing, op5_jaccard_join, op6_language, op8_mixing, op10_suffix_array
-from pelagos.session import materialize, table
+from pelagos.session import materialize, release, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +51,10 @@ ORACLE_SQL = None  # a classifier and BPE are in it; tested against a brute-forc
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        if before is not None:
+            release(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
