@@ -42,7 +42,7 @@ from pelagos.llm.names import free_name, with_key
 from pelagos.session import cut, keep, long_rows, materialize, release, table
 
 NAME = "op10_two_stage_suffixes"
-LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 20, 1000
+LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 19, 1000
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 AT = 8  # a place: start in the text, and 8 bits of windows
 
