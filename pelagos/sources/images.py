@@ -31,7 +31,9 @@ TAGS = {256: "width", 257: "height", 258: "bits", 259: "compression", 273: "offs
 
 
 def _open(path: str):
-    system, at = fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (fs.LocalFileSystem(), path)
+    if path.startswith("file:") and not path.startswith("file://"):
+        path = path.removeprefix("file:")
+    system, at = fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
     return system.open_input_file(at)
 
 

@@ -120,24 +120,27 @@ def envi_header(text: str) -> dict:
 
 
 def read_band_tiles(spark: SparkSession, path: str, header: str, side: int = 512) -> DataFrame:
-    """A raw band as tiles (path, tile_row, tile_col, height, width, payload float32). Each file is
-    one row of binaryFile, so it is cut where it is read."""
+    """A raw band as tiles (path, tile_row, tile_col, height, width, payload float32). Every strip of
+    `side` lines is read by its own byte range, so a file of any size spreads over tasks."""
+    from pelagos.sources.images import _open
+
     h = envi_header(header)
     kind = np.dtype({1: "u1", 2: "i2", 3: "i4", 4: "f4", 5: "f8", 12: "u2"}[h["type"]]).newbyteorder(">" if h["big"] else "<")
     schema = "path string, tile_row long, tile_col long, height int, width int, payload binary"
+    strips = -(-h["lines"] // side)
 
-    def cut(batches):
+    def read(batches):
         for b in batches:
-            for p, raw in zip(b.column("path").to_pylist(), b.column("content")):
-                a = np.frombuffer(raw.as_buffer(), kind, h["samples"] * h["lines"]).reshape(h["lines"], h["samples"])
-                for r in range(0, h["lines"], side):
-                    rows = []
-                    for c in range(0, h["samples"], side):
-                        t = a[r:r + side, c:c + side]
-                        rows.append((p, r // side, c // side, t.shape[0], t.shape[1], t.astype("<f4").tobytes()))
-                    yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=[f.split()[0] for f in schema.split(", ")])
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(cut, schema)
+            for p, at in zip(b.column("path").to_pylist(), b.column("strip").to_pylist()):
+                n = min(side, h["lines"] - at * side)
+                with _open(p) as file:
+                    raw = file.read_at(n * h["samples"] * kind.itemsize, at * side * h["samples"] * kind.itemsize)
+                a = np.frombuffer(raw, kind).reshape(n, h["samples"])
+                rows = [(p, at, c // side, n, min(side, h["samples"] - c), a[:, c:c + side].astype("<f4").tobytes()) for c in range(0, h["samples"], side)]
+                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), (pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()))], names=[f.split()[0] for f in schema.split(", ")])
+
+    files = spark.read.format("binaryFile").load(path).select("path")  # names alone, no contents
+    return files.select("path", F.explode(F.sequence(F.lit(0), F.lit(strips - 1))).alias("strip")).repartition("path", "strip").mapInArrow(read, schema)
 
 
 def dimap_bands(spark: SparkSession, path: str) -> DataFrame:
