@@ -162,7 +162,8 @@ def candidate(spark, d):
 @query("w03_sequential_ids", D + "SELECT detect_id, scene_id, 'scene' || scene_id || '_vessel_' || lpad(CAST(row_number() OVER (PARTITION BY scene_id ORDER BY confidence DESC, detect_id) - 1 AS VARCHAR), 4, '0') AS vessel FROM det")
 def ids(spark, d):
     n = F.row_number().over(Window.partitionBy("scene_id").orderBy(F.desc("confidence"), "detect_id")) - 1
-    return view(spark, d, "det").select("detect_id", "scene_id", F.format_string("scene%d_vessel_%04d", "scene_id", n).alias("vessel"))
+    # %04d pads and never cuts, as in the reference: the SQL's lpad gives 1234 for 12345. No scene, no name.
+    return view(spark, d, "det").select("detect_id", "scene_id", F.concat(F.lit("scene"), F.col("scene_id").cast("string"), F.lit("_vessel_"), F.format_string("%04d", n)).alias("vessel"))
 
 
 @query("w06_min_max_normalise", B + "SELECT detect_id, round((confidence - min(confidence) OVER ()) / (max(confidence) OVER () - min(confidence) OVER () + 1e-8), 6) AS norm FROM detbox")

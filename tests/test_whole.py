@@ -293,3 +293,28 @@ def test_multi_scale_merge_of_every_detection(run, seen):
 
 def test_average_precision_needs_hits(run):
     assert 0 < run("a26_mean_average_precision")[0].average_precision < 1
+
+
+def _names(spark, folder, rows, user):
+    """Rows of w03_sequential_ids over so many events, and its SQL's."""
+    import duckdb
+
+    spark.sql(f"SELECT id AS event_id, {user} AS user_id, timestamp_micros(1705320000000000) AS ts, 1D AS value FROM range({rows})").write.parquet(f"{folder}/events.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{folder}/events.parquet/*.parquet'")
+    return catalog.queries()["w03_sequential_ids"](spark, str(folder)).collect(), con.execute(catalog.oracle_sql()["w03_sequential_ids"]).fetchall()
+
+
+def test_no_name_without_a_scene(spark, tmp_path):
+    got, want = _names(spark, tmp_path, 500, "CASE WHEN id % 10 <> 3 THEN id END")
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, want))
+    assert [r.vessel for r in got if r.scene_id is None] == [None]
+
+
+def test_ten_thousand_names_of_a_scene_stay_different(spark, tmp_path):
+    """The SQL's lpad cuts numbers to four digits: its rows are the same up to 9999 only."""
+    got, want = _names(spark, tmp_path, 15000, "id * 4")
+    first = sorted(r.vessel for r in got if r.scene_id == 0)
+    assert len(first) > 10000 and first == sorted(f"scene0_vessel_{i:04d}" for i in range(len(first)))
+    sql = {r[0]: r[2] for r in want}
+    assert len(sql) == len(got) and all(sql[r.detect_id] == r.vessel[:len("scene0_vessel_") + 4] for r in got)
