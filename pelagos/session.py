@@ -69,10 +69,11 @@ def materialize(df: DataFrame, tag: str) -> DataFrame:
 def keep(df: DataFrame) -> DataFrame:
     """df computed once and held in executors' memory and disks. What a lost executor held is
     computed again from its lineage; materialize() is for long lineages and for large tables."""
-    return _counted(df)[0]
+    return counted(df)[0]
 
 
-def _counted(df: DataFrame) -> tuple[DataFrame, int]:
+def counted(df: DataFrame) -> tuple[DataFrame, int]:
+    """keep(), and the number of rows."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     with _shuffles_dropped(df.sparkSession):
         return df, df.count()
@@ -81,7 +82,11 @@ def _counted(df: DataFrame) -> tuple[DataFrame, int]:
 def cut(df: DataFrame, tag: str, per_file: int = 200_000) -> DataFrame:
     """materialize() into few files: computed in parallel, counted, then written with about
     per_file rows a file. For small tables that are read many times, as in loops."""
-    held, n = _counted(df)
+    return put_down(*counted(df), tag, per_file)
+
+
+def put_down(held: DataFrame, n: int, tag: str, per_file: int = 200_000) -> DataFrame:
+    """What counted() gave, written and no longer held."""
     out = materialize(held.coalesce(max(1, -(-n // per_file))), tag)
     release(held)
     return out
