@@ -45,6 +45,7 @@ NAME = "op10_two_stage_suffixes"
 LENGTH, GRAM, BUCKET, CROWD = 100, 40, 1 << 19, 1000
 SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 AT = 8  # a place: start in the text, and 8 bits of windows
+FILE = 20_000  # segments of crowded grams in a file
 
 
 def _raw(text) -> bytes:
@@ -317,11 +318,17 @@ def _found(batches, gram: int):
         yield pa.RecordBatch.from_arrays([b.column(c) for c in ("okey", "place", "bytes")] + [pa.array(g, pa.int64()), pa.array([gram] * len(g), pa.int64())], names=["okey", "place", "bytes", "g", "size"])
 
 
-def uncrowded(many: DataFrame, length: int, gram: int, crowd: int) -> tuple[list[DataFrame], list[DataFrame]]:
-    """many(group: hash of the gram, okey, place, bytes) of crowded grams -> copies of earlier
-    segments (okey, place), and representatives (h, okey, place, bytes) of grams that have several,
-    `crowd` at most. Each round halves what is missing between gram and window."""
-    rows = materialize(many.mapInArrow(bh.lean(lambda x: _found(x, gram)), "okey long, place long, bytes binary, g long, size long"), "crowd")
+def _put_down(rows: DataFrame, n: int) -> DataFrame:
+    """n rows of crowded grams in as many files as they need, not one from each task: a task has
+    few of them, and each file in a local folder starts processes (see README)."""
+    return materialize(rows.repartition(-(-n // FILE)), "crowd")
+
+
+def uncrowded(many: DataFrame, n: int, length: int, gram: int, crowd: int) -> tuple[list[DataFrame], list[DataFrame]]:
+    """many(group: hash of the gram, okey, place, bytes), n rows, of crowded grams -> copies of
+    earlier segments (okey, place), and representatives (h, okey, place, bytes) of grams that have
+    several, `crowd` at most. Each round halves what is missing between gram and window."""
+    rows = _put_down(many.mapInArrow(bh.lean(lambda x: _found(x, gram)), "okey long, place long, bytes binary, g long, size long"), n)
     copies, few = [], []
     while True:
         halves = materialize(rows.mapInArrow(bh.lean(lambda x: halved(x, length)), "h long, sh long, okey long, place long, bytes binary, g long, size long"), "halves")
@@ -332,10 +339,10 @@ def uncrowded(many: DataFrame, length: int, gram: int, crowd: int) -> tuple[list
         kinds = cut(heads.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter("kinds > 1"), "kinds")
         reps = halves.join(heads, ["h", "sh"]).filter(me == F.col("head")).select("h", "okey", "place", "bytes", "g", "size")
         few.append(reps.join(kinds.filter(F.col("kinds") <= crowd).select("h"), "h", "left_semi").select("h", "okey", "place", "bytes"))
-        rows = materialize(reps.join(kinds.filter(F.col("kinds") > crowd).select("h"), "h", "left_semi").select("okey", "place", "bytes", "g", "size"), "crowd")
-        if rows.isEmpty():
-            release(rows)
+        n = kinds.filter(F.col("kinds") > crowd).agg(F.sum("kinds")).first()[0]  # a representative of each kind
+        if n is None:
             return copies, few
+        rows = _put_down(reps.join(kinds.filter(F.col("kinds") > crowd).select("h"), "h", "left_semi").select("okey", "place", "bytes", "g", "size"), n)
 
 
 # ---- whole corpus
@@ -388,7 +395,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
     spans = ["okey", start.alias("a"), (start + F.col("place").bitwiseAND(0xFF) + length - 1).alias("b")]
 
     reps = sift.filter("NOT copy")
-    crowded = cut(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd).select("h"), "crowded")
+    crowded = cut(reps.groupBy("h").agg(F.count(F.lit(1)).alias("kinds")).filter(F.col("kinds") > crowd), "crowded")
+    n = crowded.agg(F.sum("kinds")).first()[0]
     few = reps.join(crowded, "h", "left_anti")
     total = few.agg(F.coalesce(F.sum(F.col("place").bitwiseAND(0xFF) + length - 1), F.lit(0))).first()[0]
     buckets = max(1, -(-total // BUCKET))
@@ -398,9 +406,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, crow
 
     bucket = F.pmod(F.xxhash64("h"), F.lit(buckets)).alias("group")
     out = sift.filter("copy").select(*spans).unionByName(arrays(cut_out(docs, few.select("okey", "place", bucket), length)))
-    if not crowded.isEmpty():
+    if n is not None:
         many = cut_out(docs, reps.join(crowded, "h", "left_semi").select("okey", "place", F.col("h").alias("group")), length)
-        copies, halves = uncrowded(many, length, gram, crowd)
+        copies, halves = uncrowded(many, n, length, gram, crowd)
         rows = reduce(DataFrame.unionByName, halves)
         out = reduce(DataFrame.unionByName, [c.select(*spans) for c in copies], out).unionByName(arrays(rows.select("okey", "place", "bytes", bucket)))
     return out.groupBy("okey").agg(F.collect_set(F.struct("a", "b")).alias("spans"))

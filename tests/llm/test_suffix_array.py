@@ -108,6 +108,33 @@ def test_crowded_grams_are_halved(docs, words, monkeypatch, crowd):
     assert got(docs(rows)) == brute(rows)
 
 
+@pytest.mark.parametrize("per_file", [20_000, 7])
+def test_crowded_grams_take_few_files(spark, docs, words, monkeypatch, per_file):
+    """As many files as the rows need, however many tasks find them."""
+    monkeypatch.setattr(op.repeated_spans, "__defaults__", (op.LENGTH, op.GRAM, 2))
+    monkeypatch.setattr(op, "FILE", per_file)
+    put, tables = op.materialize, []
+
+    def spy(df, tag):
+        out = put(df, tag)
+        if tag == "crowd":
+            tables.append((out.count(), len(out.inputFiles())))
+        return out
+
+    monkeypatch.setattr(op, "materialize", spy)
+    conf = {"spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in conf}
+    for key in conf:
+        spark.conf.set(key, conf[key])
+    try:
+        rows = corpus(words)
+        assert got(docs(rows)) == brute(rows)
+    finally:
+        for key in conf:
+            spark.conf.set(key, before[key])
+    assert tables and all(n and files == -(-n // per_file) for n, files in tables)
+
+
 def test_arrays_decide_between_different_segments(docs, words, monkeypatch):
     """Without what the suffix arrays find, bytes are missing."""
     rows = corpus(words)
